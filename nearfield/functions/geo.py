@@ -157,7 +157,10 @@ def geohash_encode(lat, lon, precision: int = 8) -> Column:
     """B2: base-32 geohash, longitude bit first, values on a midpoint go up."""
     if not 1 <= precision <= 12:
         raise ValueError("precision must be within 1..12")
-    return geohash_from_cell(cell_x(lon, precision), cell_y(lat, precision), precision)
+    # The cell pair is bound once through a lambda so the bit interleave refers to it by name
+    # instead of repeating the cell expressions; ``with_geohash`` stages columns instead.
+    cell = F.array(F.struct(cell_x(lon, precision).alias("x"), cell_y(lat, precision).alias("y")))
+    return F.transform(cell, lambda c: geohash_from_cell(c["x"], c["y"], precision))[0]
 
 
 def cell_size_deg(precision: int) -> tuple[float, float]:
@@ -165,6 +168,21 @@ def cell_size_deg(precision: int) -> tuple[float, float]:
     return 360.0 / 2 ** lon_bits(precision), 180.0 / 2 ** lat_bits(precision)
 
 
+def with_neighbor_cells(df, lat: str, lon: str, precision: int, out: str = "neighbors"):
+    """B3 for many rows: the nine shifted points are staged as columns, then encoded."""
+    lon_d, lat_d = cell_size_deg(precision)
+    names = []
+    k = 0
+    for dy in (-1, 0, 1):
+        for dx in (-1, 0, 1):
+            la, lo, g = f"_nb{k}_lat", f"_nb{k}_lon", f"_nb{k}"
+            df = df.withColumn(la, clamp_lat(F.col(lat) + F.lit(dy * lat_d))).withColumn(lo, wrap_lon(F.col(lon) + F.lit(dx * lon_d)))
+            df = with_geohash(df, la, lo, precision, g).drop(la, lo)
+            names.append(g)
+            k += 1
+    return df.withColumn(out, F.array_distinct(F.array(*[F.col(n) for n in names]))).drop(*names)
+
+
 def neighbor_cells(lat, lon, precision: int) -> Column:
     """Centre cell and its 8 neighbours (distinct; fewer next to the poles)."""
     lon_d, lat_d = cell_size_deg(precision)
@@ -200,9 +218,10 @@ def _level_height_m(level: int) -> float:
     return 180.0 / 2 ** lat_bits(level) * math.pi * EARTH_RADIUS_M / 180.0
 
 
-def _circle_box(lat: Column, lon: Column, radius_m: Column):
-    """Half height / half width in degrees of the circle's bounding box, and whether it holds a pole."""
-    ang = radius_m / F.lit(EARTH_RADIUS_M)
+def circle_box(lat, lon, radius_m):
+    """(half height deg, half width deg, holds a pole) of a circle's bounding box, widened a little."""
+    lat, lon, r = _c(lat), _c(lon), _c(radius_m)
+    ang = r / F.lit(EARTH_RADIUS_M)
     dlat = F.degrees(ang) * F.lit(_WIDEN)
     ratio = F.sin(ang) / F.cos(F.radians(lat))
     pole = (lat + dlat >= 90.0) | (lat - dlat <= -90.0) | (ratio >= 1.0)
@@ -210,29 +229,15 @@ def _circle_box(lat: Column, lon: Column, radius_m: Column):
     return dlat, dlon, pole
 
 
-def _span(lat: Column, lon: Column, dlat: Column, dlon: Column, pole: Column, level):
-    """(x_lo, x_count, y_lo, y_hi) of the cells a box touches at ``level``; x unwrapped."""
-    latb = _lat_bits(level)
-    nx = _pow2(_lon_bits(level)).cast("long")
-    y_lo = axis_cell(F.greatest(F.lit(-90.0), lat - dlat), -90.0, 180.0, latb)
-    y_hi = axis_cell(F.least(F.lit(90.0), lat + dlat), -90.0, 180.0, latb)
-    x_lo = F.floor((lon - dlon + 180.0) / 360.0 * nx.cast("double")).cast("long")
-    x_hi = F.floor((lon + dlon + 180.0) / 360.0 * nx.cast("double")).cast("long")
-    whole = pole | (x_hi - x_lo + 1 >= nx)
-    x_start = F.when(whole, F.lit(0).cast("long")).otherwise(x_lo)
-    x_count = F.when(whole, nx).otherwise(x_hi - x_lo + 1)
-    return x_start, x_count, y_lo, y_hi, nx
-
-
-def search_level(lat, lon, radius_m, max_cells: int = MAX_CELLS_PER_QUERY) -> Column:
+def search_level(radius_m, dlat, dlon, pole, max_cells: int = MAX_CELLS_PER_QUERY) -> Column:
     """Grid level used by the exact radius join for one query.
 
     The coarsest level whose cell height is at most the radius keeps the over-fetch of
-    candidates near 2x while the query covers a few dozen cells; near the poles, where the
-    circle spans many longitude cells, it falls back to coarser levels until the count fits.
+    candidates near 2x while a query covers a few dozen cells; where the circle spans many
+    longitude cells (near the poles) it falls back to coarser levels until an upper estimate
+    of the cell count fits ``max_cells``. Only work depends on the level, never the result.
     """
-    lat, lon, r = _c(lat), _c(lon), _c(radius_m)
-    dlat, dlon, pole = _circle_box(lat, lon, r)
+    r, dlat, dlon, pole = _c(radius_m), _c(dlat), _c(dlon), _c(pole)
     base = None
     for level in range(1, MAX_LEVEL + 1):
         cond = r >= F.lit(_level_height_m(level))
@@ -240,9 +245,10 @@ def search_level(lat, lon, radius_m, max_cells: int = MAX_CELLS_PER_QUERY) -> Co
     base = base.otherwise(F.lit(MAX_LEVEL))
     chosen = F.lit(1)
     for level in range(2, MAX_LEVEL + 1):
-        x0, xc, y0, y1, _ = _span(lat, lon, dlat, dlon, pole, level)
-        fits = (xc * (y1 - y0 + 1)) <= F.lit(max_cells)
-        chosen = F.when((F.lit(level) <= base) & fits, F.lit(level)).otherwise(chosen)
+        w, h = cell_size_deg(level)
+        ny = F.floor(dlat * 2 / h) + 2
+        nx = F.when(pole, F.lit(float(2 ** lon_bits(level)))).otherwise(F.floor(dlon * 2 / w) + 2)
+        chosen = F.when((F.lit(level) <= base) & (nx * ny <= max_cells), F.lit(level)).otherwise(chosen)
     return chosen
 
 
@@ -251,15 +257,66 @@ def covering_cells(lat, lon, radius_m, level) -> Column:
 
     Longitudes wrap at the date line, latitudes clamp at the poles, a circle holding a pole
     takes the whole ring. Cells are distinct, so each (query, point) pair meets in one cell.
+    For many rows prefer ``with_covering_cells``, which stages the intermediate values.
     """
-    lat, lon, r = _c(lat), _c(lon), _c(radius_m)
-    dlat, dlon, pole = _circle_box(lat, lon, r)
-    x0, xc, y0, y1, nx = _span(lat, lon, dlat, dlon, pole, level)
-    xs = F.transform(F.sequence(F.lit(0).cast("long"), xc - 1), lambda i: F.pmod(x0 + i, nx))
-    ys = F.sequence(y0, y1)
+    dlat, dlon, pole = circle_box(lat, lon, radius_m)
+    return _cells_array(_c(lat), _c(lon), dlat, dlon, pole, level)
+
+
+def _cell_ranges(lat, lon, dlat, dlon, pole, level):
+    """(x_start, x_count, y_lo, y_hi, nx): the cells of a box at ``level``; x counted from x_start mod nx."""
+    latb = _lat_bits(level)
+    nx = _pow2(_lon_bits(level)).cast("long")
+    y_lo = axis_cell(F.greatest(F.lit(-90.0), lat - dlat), -90.0, 180.0, latb)
+    y_hi = axis_cell(F.least(F.lit(90.0), lat + dlat), -90.0, 180.0, latb)
+    x_lo = F.floor((lon - dlon + 180.0) / 360.0 * nx.cast("double")).cast("long")
+    x_hi = F.floor((lon + dlon + 180.0) / 360.0 * nx.cast("double")).cast("long")
+    whole = pole | (x_hi - x_lo + 1 >= nx)
+    x_start = F.when(whole, F.lit(0).cast("long")).otherwise(x_lo)
+    x_count = F.when(whole, nx).otherwise(x_hi - x_lo + 1)
+    return x_start, x_count, y_lo, y_hi, nx
+
+
+def _cells_array(lat, lon, dlat, dlon, pole, level) -> Column:
+    x_start, x_count, y_lo, y_hi, nx = _cell_ranges(lat, lon, dlat, dlon, pole, level)
+    xs = F.transform(F.sequence(F.lit(0).cast("long"), x_count - 1), lambda i: F.pmod(x_start + i, nx))
+    ys = F.sequence(y_lo, y_hi)
     return F.flatten(F.transform(ys, lambda y: F.transform(xs, lambda x: F.struct(x.alias("x"), y.alias("y")))))
 
 
+def with_covering_cells(df, lat: str, lon: str, radius: str, level_out: str = "level", x_out: str = "x", y_out: str = "y"):
+    """One row per (input row, covering cell): adds the search level and integer cell columns.
+
+    Box values are staged as columns and the cells come from two plain ``explode(sequence)``
+    generators, which keeps the plan small for Catalyst and the generated code.
+    """
+    dlat, dlon, pole = circle_box(lat, lon, radius)
+    out = df.withColumn("_cb_dlat", dlat).withColumn("_cb_dlon", dlon).withColumn("_cb_pole", pole)
+    out = out.withColumn(level_out, search_level(radius, "_cb_dlat", "_cb_dlon", "_cb_pole"))
+    x_start, x_count, y_lo, y_hi, nx = _cell_ranges(F.col(lat), F.col(lon), F.col("_cb_dlat"), F.col("_cb_dlon"),
+                                                     F.col("_cb_pole"), F.col(level_out))
+    out = (out.withColumn("_cb_x0", x_start).withColumn("_cb_xn", x_count).withColumn("_cb_nx", nx)
+           .withColumn("_cb_y0", y_lo).withColumn("_cb_y1", y_hi)
+           .drop("_cb_dlat", "_cb_dlon", "_cb_pole"))
+    out = out.withColumn(y_out, F.explode(F.sequence(F.col("_cb_y0"), F.col("_cb_y1"))))
+    out = out.withColumn("_cb_i", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_cb_xn") - 1)))
+    out = out.withColumn(x_out, F.pmod(F.col("_cb_x0") + F.col("_cb_i"), F.col("_cb_nx")))
+    return out.drop("_cb_x0", "_cb_xn", "_cb_nx", "_cb_y0", "_cb_y1", "_cb_i")
+
+
+def with_cell(df, lat: str, lon: str, level, x_out: str = "x", y_out: str = "y"):
+    """Add integer cell columns of a point at ``level`` (int or column name)."""
+    lvl = level if isinstance(level, int) else F.col(level)
+    return df.withColumn(x_out, cell_x(lon, lvl)).withColumn(y_out, cell_y(lat, lvl))
+
+
+def with_geohash(df, lat: str, lon: str, precision: int, out: str = "geohash"):
+    """Add a geohash column, computing the cells first so each is written once."""
+    tx, ty = f"_{out}_x", f"_{out}_y"
+    df = with_cell(df, lat, lon, precision, tx, ty)
+    return df.withColumn(out, geohash_from_cell(F.col(tx), F.col(ty), precision)).drop(tx, ty)
+
+
 def mask_coordinate(v, decimals: int) -> Column:
     """Keep ``decimals`` decimal places of a coordinate."""
     return F.round(_c(v), decimals)

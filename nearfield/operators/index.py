@@ -49,14 +49,13 @@ def attach_hot_zone(df: DataFrame, config: DataFrame | None, geohash_col: str =
 
 def index_rows(df: DataFrame, config: DataFrame | None, id_col: str = "id") -> DataFrame:
     """Index rows for business rows: geohash(8) from coordinates rounded to the stored 6 decimals."""
-    lat = F.round(F.col("latitude"), 6)
-    lon = F.round(F.col("longitude"), 6)
     rows = df.select(
         F.col(id_col).alias("business_id"),
-        geo.geohash_encode(lat, lon, STORAGE_PRECISION).alias("geohash"),
-        lat.alias("latitude"),
-        lon.alias("longitude"),
+        F.round(F.col("latitude"), 6).alias("latitude"),
+        F.round(F.col("longitude"), 6).alias("longitude"),
     )
+    rows = geo.with_geohash(rows, "latitude", "longitude", STORAGE_PRECISION).select(
+        "business_id", "geohash", "latitude", "longitude")
     rows = attach_hot_zone(rows, config)
     return rows.select(
         "business_id", "geohash", "latitude", "longitude",

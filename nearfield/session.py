@@ -31,6 +31,7 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8, app: s
     builder = (
         builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("NEARFIELD_DRIVER_MEMORY", "16g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
