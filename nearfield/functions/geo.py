@@ -22,8 +22,6 @@ MIN_COS_LAT = 0.1  # floor of cos(latitude) in move_point
 POLICY_PRECISION = ((300, 7), (1000, 6), (5000, 5), (20000, 4))
 POLICY_PRECISION_ELSE = 3
 
-# Conv() emits base-32 digits in this order; translate maps them onto the geohash alphabet.
-_CONV_DIGITS = "0123456789ABCDEFGHIJKLMNOPQRSTUV"
 # Circle bounding boxes are widened by this factor so floating error never loses an edge cell.
 _WIDEN = 1.0001
 # Most cells one query may cover before it falls back to a coarser level.
@@ -80,10 +78,10 @@ def clamp_lat(lat) -> Column:
 
 
 def wrap_lon(lon) -> Column:
-    """Bring a longitude into [-180, 180): one step of +/-360 as the service does, general modulo beyond."""
+    """Bring a longitude within one turn of the range into [-180, 180) by one step of +/-360,
+    as the service's loop does for every input it can produce (|lon| < 540)."""
     v = _c(lon)
-    once = F.when(v < -180.0, v + 360.0).when(v >= 180.0, v - 360.0).otherwise(v)
-    return F.when((once < -180.0) | (once >= 180.0), F.pmod(v + 180.0, F.lit(360.0)) - 180.0).otherwise(once)
+    return F.when(v < -180.0, v + 360.0).when(v >= 180.0, v - 360.0).otherwise(v)
 
 
 # ---------------------------------------------------------------- grid cells
@@ -132,25 +130,39 @@ def cell_y(lat, level) -> Column:
     return axis_cell(lat, -90.0, 180.0, _lat_bits(level))
 
 
-def _spread_bits(v: Column) -> Column:
-    """Move bit i of a value below 2^32 to bit 2i (Morton spread)."""
-    v = (v.bitwiseOR(F.shiftleft(v, 16))).bitwiseAND(F.lit(0x0000FFFF0000FFFF))
-    v = (v.bitwiseOR(F.shiftleft(v, 8))).bitwiseAND(F.lit(0x00FF00FF00FF00FF))
-    v = (v.bitwiseOR(F.shiftleft(v, 4))).bitwiseAND(F.lit(0x0F0F0F0F0F0F0F0F))
-    v = (v.bitwiseOR(F.shiftleft(v, 2))).bitwiseAND(F.lit(0x3333333333333333))
-    v = (v.bitwiseOR(F.shiftleft(v, 1))).bitwiseAND(F.lit(0x5555555555555555))
-    return v
+def _char_table() -> str:
+    """Geohash letter for each (3 bits of one axis, 2 bits of the other) index.
+
+    A character covers five interleaved bits; starting with longitude they read x y x y x,
+    starting with latitude y x y x y. Either way the axis with three bits leads, so one table
+    serves both: the index is (three-bit value) * 4 + (two-bit value).
+    """
+    out = []
+    for idx in range(32):
+        a, b = idx >> 2, idx & 3
+        v = ((a >> 2) & 1) << 4 | ((b >> 1) & 1) << 3 | ((a >> 1) & 1) << 2 | (b & 1) << 1 | (a & 1)
+        out.append(GEOHASH_ALPHABET[v])
+    return "".join(out)
+
+
+_CHAR_TABLE = _char_table()
 
 
 def geohash_from_cell(x, y, precision: int) -> Column:
-    """Geohash string of integer cell (x, y) at ``precision``: interleave, then base 32."""
+    """Geohash string of integer cell (x, y) at ``precision``, one character per 5 bits."""
     x, y = _c(x).cast("long"), _c(y).cast("long")
-    if (5 * precision) % 2 == 0:
-        bits = F.shiftleft(_spread_bits(x), 1).bitwiseOR(_spread_bits(y))
-    else:
-        bits = _spread_bits(x).bitwiseOR(F.shiftleft(_spread_bits(y), 1))
-    digits = F.lpad(F.conv(bits.cast("string"), 10, 32), precision, "0")
-    return F.translate(digits, _CONV_DIGITS, GEOHASH_ALPHABET)
+    lonb, latb = lon_bits(precision), lat_bits(precision)
+    chars = []
+    for c in range(precision):
+        x_before, y_before = (5 * c + 1) // 2, (5 * c) // 2
+        if c % 2 == 0:  # x y x y x
+            three = F.shiftright(x, lonb - x_before - 3).bitwiseAND(F.lit(7))
+            two = F.shiftright(y, latb - y_before - 2).bitwiseAND(F.lit(3))
+        else:  # y x y x y
+            three = F.shiftright(y, latb - y_before - 3).bitwiseAND(F.lit(7))
+            two = F.shiftright(x, lonb - x_before - 2).bitwiseAND(F.lit(3))
+        chars.append(F.substring(F.lit(_CHAR_TABLE), (three * 4 + two + 1).cast("int"), F.lit(1)))
+    return F.concat(*chars)
 
 
 def geohash_encode(lat, lon, precision: int = 8) -> Column:
@@ -168,19 +180,31 @@ def cell_size_deg(precision: int) -> tuple[float, float]:
     return 360.0 / 2 ** lon_bits(precision), 180.0 / 2 ** lat_bits(precision)
 
 
+def with_neighbor_xy(df, lat: str, lon: str, precision, out: str = "neighbors"):
+    """B3 as integer cells: array<struct<x, y>> of the centre and its 8 neighbours, distinct.
+
+    A neighbour is the cell of the point shifted by one cell size (latitude clamped, longitude
+    wrapped), so only three x and three y values are computed per row.
+    """
+    if isinstance(precision, int):
+        lon_d, lat_d = (F.lit(v) for v in cell_size_deg(precision))
+    else:  # a per-row precision column; sizes are exact powers of two
+        precision = F.col(precision)
+        lon_d = F.lit(360.0) / _pow2(_lon_bits(precision))
+        lat_d = F.lit(180.0) / _pow2(_lat_bits(precision))
+    for k, dx in enumerate((-1, 0, 1)):
+        df = df.withColumn(f"_nbx{k}", cell_x(wrap_lon(F.col(lon) + lon_d * dx), precision))
+    for k, dy in enumerate((-1, 0, 1)):
+        df = df.withColumn(f"_nby{k}", cell_y(clamp_lat(F.col(lat) + lat_d * dy), precision))
+    pairs = [F.struct(F.col(f"_nbx{a}").alias("x"), F.col(f"_nby{b}").alias("y")) for b in range(3) for a in range(3)]
+    return df.withColumn(out, F.array_distinct(F.array(*pairs))).drop(*[f"_nbx{k}" for k in range(3)], *[f"_nby{k}" for k in range(3)])
+
+
 def with_neighbor_cells(df, lat: str, lon: str, precision: int, out: str = "neighbors"):
-    """B3 for many rows: the nine shifted points are staged as columns, then encoded."""
-    lon_d, lat_d = cell_size_deg(precision)
-    names = []
-    k = 0
-    for dy in (-1, 0, 1):
-        for dx in (-1, 0, 1):
-            la, lo, g = f"_nb{k}_lat", f"_nb{k}_lon", f"_nb{k}"
-            df = df.withColumn(la, clamp_lat(F.col(lat) + F.lit(dy * lat_d))).withColumn(lo, wrap_lon(F.col(lon) + F.lit(dx * lon_d)))
-            df = with_geohash(df, la, lo, precision, g).drop(la, lo)
-            names.append(g)
-            k += 1
-    return df.withColumn(out, F.array_distinct(F.array(*[F.col(n) for n in names]))).drop(*names)
+    """B3 for many rows: distinct geohash strings of the centre and its 8 neighbours."""
+    df = with_neighbor_xy(df, lat, lon, precision, "_nb_xy")
+    return df.withColumn(out, F.array_distinct(F.transform(
+        "_nb_xy", lambda c: geohash_from_cell(c["x"], c["y"], precision)))).drop("_nb_xy")
 
 
 def neighbor_cells(lat, lon, precision: int) -> Column:

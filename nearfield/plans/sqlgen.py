@@ -57,6 +57,8 @@ def geohash_select(src: str, lat: str, lon: str, precision: int, out: str = "geo
     """``SELECT *, <geohash> AS out FROM src``: cells first, then characters, so the cell
     expressions are written once."""
     lonb, latb = (5 * precision + 1) // 2, (5 * precision) // 2
+    if src.lstrip().upper().startswith("SELECT"):
+        src = f"({src})"
     inner = (f"SELECT *, {axis_cell(lon, -180.0, 360.0, lonb)} AS _gx, {axis_cell(lat, -90.0, 180.0, latb)} AS _gy "
              f"FROM {src} {where}")
     return f"SELECT * EXCLUDE (_gx, _gy), {geohash_chars('_gx', '_gy', precision)} AS {out} FROM ({inner})"
