@@ -21,6 +21,8 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.optimizer.windowGroupLimitThreshold": "10000",
+    # Timestamps without zone, like the stored UTC instants; streams cast to TIMESTAMP for watermarks.
+    "spark.sql.timestampType": "TIMESTAMP_NTZ",
 }
 
 
