@@ -1,3 +1,133 @@
-"""Queries (filled in below)."""
+"""Telemetry queries over the request log (E3-E5, E9, I4 batch twin, I5)."""
 
 from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from nearfield.operators import sync as Y
+from nearfield.operators import telemetry as T
+from nearfield.plans.catalog import register
+from nearfield.plans.sqlgen import with_fixtures
+from nearfield.sources.fixtures import Fixtures
+
+# Load-test stage targets: offered rate (requests/s) and p95 target per stage.
+STAGE_TARGETS = (("low", 200.0, 300.0), ("mid", 500.0, 300.0), ("high", 1000.0, 300.0))
+NOW = "2024-06-01 00:00:00"
+
+
+def _r6(c):
+    return F.round(c, 6)
+
+
+@register("latency_summary", with_fixtures(["request_log"], """
+SELECT endpoint, stage, count(*) AS requests, round(avg(latency_ms), 6) AS avg_ms, min(latency_ms) AS min_ms, max(latency_ms) AS max_ms,
+  round(quantile_cont(latency_ms, 0.5), 6) AS p50_ms, round(quantile_cont(latency_ms, 0.9), 6) AS p90_ms,
+  round(quantile_cont(latency_ms, 0.95), 6) AS p95_ms, round(quantile_cont(latency_ms, 0.99), 6) AS p99_ms
+FROM request_log GROUP BY endpoint, stage
+"""))
+def latency_summary(spark, sf_dir):
+    """Latency distribution per endpoint and load stage (exact, distributed percentiles)."""
+    s = T.latency_summary(Fixtures(spark, sf_dir).request_log, ["endpoint", "stage"])
+    return s.select("endpoint", "stage", "requests", _r6(F.col("avg_ms")).alias("avg_ms"), "min_ms", "max_ms",
+                    *[_r6(F.col(c)).alias(c) for c in ("p50_ms", "p90_ms", "p95_ms", "p99_ms")])
+
+
+_RATES_SQL = """
+rates AS (
+  SELECT stage, count(*) AS requests, epoch(max(ts)) - epoch(min(ts)) AS duration_s,
+    count(*) FILTER (WHERE status_code >= 400) AS failed, count(*) FILTER (WHERE check_passed) AS passed
+  FROM request_log GROUP BY stage)
+"""
+
+
+@register("request_rates", with_fixtures(["request_log"], _RATES_SQL + """
+SELECT stage, requests, round(duration_s, 6) AS duration_s, round(coalesce(requests / nullif(duration_s, 0), 0), 6) AS rps,
+  round(coalesce(failed / nullif(requests, 0), 0), 6) AS fail_rate, round(coalesce(passed / nullif(requests, 0), 0), 6) AS check_rate
+FROM rates
+"""))
+def request_rates(spark, sf_dir):
+    """Requests, rate, failure rate and check pass rate per load stage."""
+    r = T.request_rates(Fixtures(spark, sf_dir).request_log, ["stage"])
+    return r.select("stage", "requests", *[_r6(F.col(c)).alias(c) for c in ("duration_s", "rps", "fail_rate", "check_rate")])
+
+
+def _targets_sql() -> str:
+    rows = ", ".join(f"('{s}', {r}, {p})" for s, r, p in STAGE_TARGETS)
+    return f"(VALUES {rows}) AS t(stage, target_rps, p95_target_ms)"
+
+
+@register("stage_verdict", with_fixtures(["request_log"], _RATES_SQL + f""",
+p AS (SELECT stage, quantile_cont(latency_ms, 0.95) AS p95_ms FROM request_log GROUP BY stage)
+SELECT stage, round(p95_ms, 6) AS p95_ms, round(coalesce(requests / nullif(duration_s, 0), 0), 6) AS rps,
+  CASE WHEN p95_ms <= p95_target_ms AND coalesce(failed / nullif(requests, 0), 0) < 0.01 AND coalesce(passed / nullif(requests, 0), 0) >= 0.99
+        AND coalesce(requests / nullif(duration_s, 0), 0) >= target_rps * 0.95 THEN 'PASS' ELSE 'FAIL' END AS verdict
+FROM rates JOIN p USING (stage) JOIN {_targets_sql()} USING (stage)
+"""))
+def stage_verdict(spark, sf_dir):
+    """E5: PASS / FAIL per load stage against the stage targets."""
+    req = Fixtures(spark, sf_dir).request_log
+    stats = T.request_rates(req, ["stage"]).join(
+        T.exact_percentiles(req, ["stage"], "latency_ms", {"p95_ms": 0.95}), "stage")
+    targets = spark.createDataFrame(list(STAGE_TARGETS), "stage string, target_rps double, p95_target_ms double")
+    v = T.stage_verdict(stats.withColumn("dropped", F.lit(0)).withColumn("stage_ok", F.lit(True)), F.broadcast(targets))
+    return v.select("stage", _r6(F.col("p95_ms")).alias("p95_ms"), _r6(F.col("rps")).alias("rps"), "verdict")
+
+
+@register("qps_1m", with_fixtures(["request_log"], """
+SELECT time_bucket(INTERVAL 1 MINUTE, ts) AS window_start, endpoint, count(*) AS requests, round(count(*) / 60.0, 6) AS rps
+FROM request_log GROUP BY ALL
+"""))
+def qps_1m(spark, sf_dir):
+    """I4 batch twin: requests per second per endpoint over 1-minute windows."""
+    r = T.per_minute_rate(Fixtures(spark, sf_dir).request_log, ["endpoint"])
+    return r.select("window_start", "endpoint", "requests", _r6(F.col("rps")).alias("rps"))
+
+
+_SLIDING_SQL = """
+win AS (
+  SELECT w.window_start, r.endpoint, r.latency_ms, r.status_code
+  FROM request_log r, (SELECT unnest(generate_series(0, 4)) AS k) s,
+  LATERAL (SELECT time_bucket(INTERVAL 1 MINUTE, r.ts) - s.k * INTERVAL 1 MINUTE AS window_start) w),
+p95 AS (
+  SELECT window_start, endpoint, count(*) AS requests, count(*) FILTER (WHERE status_code >= 500) AS errors_5xx,
+    quantile_cont(latency_ms, 0.95) AS p95_ms
+  FROM win GROUP BY window_start, endpoint)
+"""
+
+
+@register("p95_5m", with_fixtures(["request_log"], _SLIDING_SQL + """
+SELECT window_start, endpoint, requests, errors_5xx, round(p95_ms, 6) AS p95_ms, round(errors_5xx / requests, 6) AS error_rate_5xx FROM p95
+"""))
+def p95_5m(spark, sf_dir):
+    """I4 batch twin: p95 latency and 5xx rate over 5-minute windows sliding by 1 minute."""
+    w = T.sliding_p95(Fixtures(spark, sf_dir).request_log, ["endpoint"])
+    return w.select("window_start", "endpoint", "requests", "errors_5xx", _r6(F.col("p95_ms")).alias("p95_ms"),
+                    _r6(F.col("error_rate_5xx")).alias("error_rate_5xx"))
+
+
+@register("alerts", with_fixtures(["request_log", "change_log"], _SLIDING_SQL + f""",
+bl AS (SELECT count(*) AS unprocessed, coalesce(CAST(floor(epoch(TIMESTAMP '{NOW}') - epoch(min(created_at))) AS BIGINT), 0) AS age
+       FROM change_log WHERE NOT processed)
+SELECT 'search_p95_high' AS alert, window_start, round(p95_ms, 6) AS value FROM p95 WHERE endpoint = '/v1/search/nearby' AND p95_ms > 300
+UNION ALL SELECT 'error_rate_5xx_high', window_start, round(errors_5xx / requests, 6) FROM p95 WHERE endpoint = '/v1/search/nearby' AND errors_5xx / requests > 0.01
+UNION ALL SELECT 'sync_backlog_high', NULL, CAST(unprocessed AS DOUBLE) FROM bl WHERE unprocessed > 100000
+UNION ALL SELECT 'sync_lag_high', NULL, CAST(age AS DOUBLE) FROM bl WHERE age > 3600
+"""))
+def alerts(spark, sf_dir):
+    """Alert rows for the search endpoint's 5-minute windows and the sync backlog."""
+    fx = Fixtures(spark, sf_dir)
+    req = fx.request_log.filter(F.col("endpoint") == "/v1/search/nearby")
+    a = T.alerts(T.sliding_p95(req, ["endpoint"]), Y.sync_backlog(fx.change_log, NOW))
+    return a.select("alert", "window_start", _r6(F.col("value")).alias("value"))
+
+
+@register("traffic_profile", with_fixtures(["search_query"], f"""
+SELECT hour(requested_at) AS hour, count(*) AS searches, round(count(*) / (SELECT count(*) FROM search_query), 6) AS share,
+  round(list_extract([{', '.join(repr(w) for w in T.HOUR_WEIGHTS)}], hour(requested_at) + 1) / {sum(T.HOUR_WEIGHTS)!r}, 6) AS expected_share
+FROM search_query GROUP BY hour(requested_at)
+"""))
+def traffic_profile(spark, sf_dir):
+    """Searches per hour of day, observed share against the expected hourly weights."""
+    p = T.traffic_profile(Fixtures(spark, sf_dir).search_query)
+    return p.select(F.col("hour").cast("bigint").alias("hour"), "searches", _r6(F.col("share")).alias("share"),
+                    _r6(F.col("expected_share")).alias("expected_share"))
