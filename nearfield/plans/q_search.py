@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from nearfield.operators import index as ix
 from nearfield.operators import search as S
 from nearfield.plans.catalog import register
+from nearfield.functions import geo
 from nearfield.functions.geo import cell_size_deg
 from nearfield.plans.sqlgen import clamp_lat, cursor, d, geohash_select, hav, wrap_lon, with_fixtures
 from nearfield.sources.fixtures import Fixtures
@@ -138,3 +139,96 @@ def nine_cell_recall(spark, sf_dir):
     return j.groupBy("tier", "radius_m").agg(
         F.coalesce(F.sum("exact_pairs"), F.lit(0)).cast("long").alias("exact_pairs"),
         F.coalesce(F.sum("nine_cell_pairs"), F.lit(0)).cast("long").alias("nine_cell_pairs"))
+
+
+def _cap_pairs_sql(radius_expr: str) -> str:
+    return f"""
+pairs AS (
+  SELECT q.query_id, q.radius_m, b.id, b.name, b.category, b.latitude, b.longitude,
+         {hav('q.latitude', 'q.longitude', 'b.latitude', 'b.longitude')} AS d, q.adjusted_radius
+  FROM qz q JOIN business b ON b.status = 'ACTIVE'
+  WHERE {hav('q.latitude', 'q.longitude', 'b.latitude', 'b.longitude')} <= {radius_expr}
+),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(d, 6), id) AS rk FROM pairs),
+totals AS (SELECT query_id, least(count(*), 5000) AS total FROM pairs GROUP BY query_id)
+"""
+
+
+_QZ = f"""
+qz AS (SELECT q.*, z.radius_limit AS hz_limit,
+         CASE WHEN z.geohash_prefix IS NOT NULL THEN least(q.radius_m, z.radius_limit) ELSE q.radius_m END AS adjusted_radius
+       FROM ({geohash_select('search_query', 'latitude', 'longitude', 4, 'gh4')}) q
+       LEFT JOIN (SELECT * FROM hot_zone_config WHERE is_active) z ON z.geohash_prefix = q.gh4),
+"""
+
+
+@register("hot_zone_cap", with_fixtures(["business", "search_query", "hot_zone_config"], _QZ + _cap_pairs_sql("q.adjusted_radius").strip() + f"""
+SELECT r.query_id, CAST(r.rk AS INTEGER) AS rank, r.id, r.name, r.category, CAST(floor(r.d + 0.5) AS BIGINT) AS distance_m,
+       r.latitude, r.longitude, CAST(t.total AS INTEGER) AS total, r.adjusted_radius,
+       CASE WHEN {FIRST_PAGE} < t.total THEN {cursor(str(FIRST_PAGE))} END AS next_cursor
+FROM ranked r JOIN totals t USING (query_id) WHERE r.rk <= {FIRST_PAGE}
+"""))
+def hot_zone_cap(spark, sf_dir):
+    """S2 'hot_zone_cap': first page where searches inside an active hot zone use its radius limit."""
+    page, _ = _search(spark, sf_dir, limit=FIRST_PAGE, radius_policy="hot_zone_cap")
+    return page
+
+
+@register("radius_cap_effect", with_fixtures(["business", "search_query", "hot_zone_config"], _QZ + f"""
+pairs AS (
+  SELECT q.query_id, q.gh4, q.hz_limit, {hav('q.latitude', 'q.longitude', 'b.latitude', 'b.longitude')} AS d
+  FROM qz q JOIN business b ON b.status = 'ACTIVE'
+  WHERE q.hz_limit IS NOT NULL AND {hav('q.latitude', 'q.longitude', 'b.latitude', 'b.longitude')} <= q.radius_m)
+SELECT q.gh4 AS hz_prefix, count(DISTINCT q.query_id) AS queries,
+  CAST(count(p.d) AS BIGINT) AS candidates_before, CAST(count(p.d) FILTER (WHERE p.d <= q.hz_limit) AS BIGINT) AS candidates_after,
+  round(100.0 * (1 - count(p.d) FILTER (WHERE p.d <= q.hz_limit) / nullif(count(p.d), 0)), 6) AS reduction_pct
+FROM qz q LEFT JOIN pairs p USING (query_id) WHERE q.hz_limit IS NOT NULL GROUP BY q.gh4
+"""))
+def radius_cap_effect(spark, sf_dir):
+    """Candidates per hot zone before and after capping the radius at the zone's limit."""
+    fx = Fixtures(spark, sf_dir)
+    business = fx.business
+    idx = S.restrict_to_active(ix.full_reindex(business, fx.hot_zone_config), business)
+    q = geo.with_geohash(fx.search_query, "latitude", "longitude", 4, "gh4")
+    q = ix.attach_hot_zone(q, fx.hot_zone_config, "gh4").filter(F.col("is_hot"))
+    pairs = S.nearby_join(q, idx).join(q.select("query_id", "hz_prefix", "hz_radius_limit"), "query_id")
+    per = pairs.groupBy("hz_prefix").agg(
+        F.count(F.lit(1)).alias("candidates_before"),
+        F.count_if(F.col("distance") <= F.col("hz_radius_limit")).alias("candidates_after"))
+    qs = q.groupBy("hz_prefix").agg(F.count(F.lit(1)).alias("queries"))
+    out = qs.join(per, "hz_prefix", "left").fillna(0, ["candidates_before", "candidates_after"])
+    red = F.round(F.lit(100.0) * (1 - F.try_divide(F.col("candidates_after").cast("double"), F.col("candidates_before"))), 6)
+    return out.select("hz_prefix", "queries", "candidates_before", "candidates_after", red.alias("reduction_pct"))
+
+
+@register("candidate_profile", with_fixtures(["business", "search_query"], _PAIRS + """
+SELECT q.tier, q.radius_m, count(*) AS searches, CAST(sum(coalesce(t.total, 0)) AS BIGINT) AS candidates,
+  round(avg(coalesce(t.total, 0)), 6) AS avg_candidates, CAST(max(coalesce(t.total, 0)) AS INTEGER) AS max_candidates,
+  CAST(sum(least(coalesce(t.total, 0), 20)) AS BIGINT) AS results
+FROM search_query q LEFT JOIN totals t USING (query_id) GROUP BY q.tier, q.radius_m
+"""))
+def candidate_profile(spark, sf_dir):
+    """Candidates and first-page results per search, summarised by tier and radius."""
+    fx = Fixtures(spark, sf_dir)
+    _, header = _search(spark, sf_dir, limit=FIRST_PAGE)
+    j = fx.search_query.select("query_id", "tier", "radius_m").join(header.select("query_id", "total"), "query_id")
+    return j.groupBy("tier", "radius_m").agg(
+        F.count(F.lit(1)).alias("searches"), F.sum("total").cast("long").alias("candidates"),
+        F.round(F.avg("total"), 6).alias("avg_candidates"), F.max("total").cast("int").alias("max_candidates"),
+        F.sum(F.least(F.col("total"), F.lit(FIRST_PAGE))).cast("long").alias("results"))
+
+
+@register("page_stability", with_fixtures(["business", "search_query"], _PAIRS + """
+SELECT query_id, CAST(count(*) AS BIGINT) AS ranked, CAST(count(DISTINCT id) AS BIGINT) AS distinct_ids,
+  CAST(max((rk - 1) // 20) + 1 AS INTEGER) AS pages, count(*) = count(DISTINCT id) AS stable
+FROM ranked WHERE rk <= 5000 GROUP BY query_id
+"""))
+def page_stability(spark, sf_dir):
+    """over the full ranked list (cap 5000) of every query: no id twice, pages of 20 tile the list."""
+    fx = Fixtures(spark, sf_dir)
+    idx = S.restrict_to_active(ix.full_reindex(fx.business, fx.hot_zone_config), fx.business)
+    ranked = S.rank_by_distance(S.nearby_join(fx.search_query, idx), S.CANDIDATE_CAP)
+    return ranked.groupBy("query_id").agg(
+        F.count(F.lit(1)).alias("ranked"), F.countDistinct("business_id").alias("distinct_ids"),
+        (F.max(F.floor((F.col("rank") - 1) / FIRST_PAGE)) + 1).cast("int").alias("pages"),
+    ).withColumn("stable", F.col("ranked") == F.col("distinct_ids"))
