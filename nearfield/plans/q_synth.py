@@ -1,3 +1,59 @@
-"""Queries (filled in below)."""
+"""Synthetic workload and streaming queries (K1, K2, K4, I3, I4, I8): rows-only checks."""
 
 from __future__ import annotations
+
+
+from nearfield.operators import index as ix
+from nearfield.operators import synth as K
+from nearfield.plans.catalog import register
+from nearfield.sources.fixtures import FIXTURE_SQL, Fixtures
+from nearfield.sources.tables import read_table
+from nearfield.streaming.sync_stream import run_sync_stream
+from nearfield.streaming.telemetry_stream import run_telemetry_stream
+
+NOW = "2024-06-01 00:00:00"
+SEED = 42
+
+
+@register("synth_businesses")
+def synth_businesses(spark, sf_dir):
+    """K1: one clustered synthetic business per customer key."""
+    return K.synth_businesses(read_table(spark, sf_dir, "customer"), "c_custkey", NOW, SEED)
+
+
+@register("synth_queries")
+def synth_queries(spark, sf_dir):
+    """K2: one synthetic search point per event key over one day."""
+    return K.synth_queries(read_table(spark, sf_dir, "events"), "event_id", NOW, 1, SEED)
+
+
+@register("workload_summary")
+def workload_summary(spark, sf_dir):
+    """K4: counts, requested ratios and observed shares of the synthetic workload."""
+    b = K.synth_businesses(read_table(spark, sf_dir, "customer"), "c_custkey", NOW, SEED)
+    q = K.synth_queries(read_table(spark, sf_dir, "events"), "event_id", NOW, 1, SEED)
+    return K.workload_summary(b, q, SEED)
+
+
+def _stream_of(spark, sf_dir, table: str):
+    schema = read_table(spark, sf_dir, table).schema
+    return (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
+            .parquet(f"{sf_dir.rstrip('/')}/{table}*.parquet"))
+
+
+@register("sync_index_stream")
+def sync_index_stream(spark, sf_dir):
+    """I3 + I8: the change log as a file stream drained into the index by micro-batches."""
+    fx = Fixtures(spark, sf_dir)
+    events = spark.sql(FIXTURE_SQL["change_log"], orders=_stream_of(spark, sf_dir, "orders"))
+    base = ix.full_reindex(fx.business, fx.hot_zone_config)
+    return run_sync_stream(spark, events, fx.business, base, lambda: Fixtures(spark, sf_dir).hot_zone_config)
+
+
+@register("telemetry_stream")
+def telemetry_stream(spark, sf_dir):
+    """I4: per-minute rates and 5-minute approximate p95 from the request log as a stream."""
+    req = spark.sql(FIXTURE_SQL["request_log"], events=_stream_of(spark, sf_dir, "events"))
+    return run_telemetry_stream(spark, req)
+
+
