@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from nearfield.llm import bpe, chat, exact_dedup, license_scan, secret_scan
+from nearfield.llm import bpe, chat, decontaminate, exact_dedup, license_scan, near_dedup, quality, secret_scan, token_count, toxicity
 from nearfield.llm.common import documents
 
 QUERIES: dict = {}
@@ -69,3 +69,30 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_secret_scan")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.secret_report(secret_scan.secret_scan(documents(spark, sf_dir)))
+
+
+@query("op2_decontaminate")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"))
+
+
+@query("op3_near_dedup")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_dedup(documents(spark, sf_dir))
+
+
+@query("op8_token_count")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_count.token_counts(documents(spark, sf_dir), vocabulary())
+
+
+@query("op9_toxicity")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return toxicity.toxicity(docs, toxicity.fit(docs, documents(spark, sf_dir, "labels")))
+
+
+@query("op5_quality")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return quality.quality(docs, quality.fit(docs, documents(spark, sf_dir, "labels")))
