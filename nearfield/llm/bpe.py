@@ -28,7 +28,7 @@ from itertools import chain
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nearfield.llm.common import text_of
+from nearfield.llm.common import map_batches, text_of
 
 CACHE_WORDS = 400_000
 BATCH_CHARS = 4_000_000
@@ -212,4 +212,4 @@ def bpe_table(docs: DataFrame, vocabulary: str, outputs=("ids", "decoded"), id_c
                 at = end
 
     schema = ", ".join(["doc_id long", *(f"{k} {OUTPUTS[k]}" for k in outputs)])
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text")).mapInArrow(run, schema)
+    return map_batches(docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text")), run, schema)

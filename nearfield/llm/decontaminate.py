@@ -30,7 +30,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nearfield.llm.common import text_of
+from nearfield.llm.common import map_batches, text_of
 from nearfield.llm.words import column_words, shingles
 
 WIDTH = 5
@@ -202,7 +202,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRES
                         pa.array([s + index.words[i] for (_, i), (_, s) in best.items()], pa.int64())],
                         ["doc_id", "item_id", "similarity", "start_word", "end_word"])
 
-        out = out.unionByName(source.mapInArrow(run, schema))
+        out = out.unionByName(map_batches(source, run, schema))
     return out
 
 
@@ -223,5 +223,5 @@ def clean(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, t
                         keep[low + row] = False
                 yield batch.filter(pa.array(keep))
 
-        docs = docs.mapInArrow(run, docs.schema)
+        docs = map_batches(docs, run, docs.schema)
     return docs

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from nearfield.llm.bpe import byte_letters
-from nearfield.llm.common import text_of
+from nearfield.llm.common import map_batches, text_of
 
 CACHE_WORDS = 500_000
 _WORDS = re.compile(r"[^\x20\x09-\x0D]+").findall
@@ -131,5 +131,4 @@ def token_counts(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_
                 n_tokens.append(sum(map(counts.__getitem__, words)))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n_words, pa.int64()), pa.array(n_tokens, pa.int64())], ["doc_id", "n_words", "n_tokens"])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text")).mapInArrow(
-        run, "doc_id long, n_words long, n_tokens long")
+    return map_batches(docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text")), run, "doc_id long, n_words long, n_tokens long")

@@ -8,7 +8,8 @@ threat just read. So a negated or reported insult counts less, and one with a ta
 its outputs, and a document is scored on its matched clauses by a logistic model.
 
 Insults and threats are learned from labelled rows: words, and word beginnings of 4 to 7 letters, that stand in far more toxic
-than clean texts (log-likelihood ratio), weighted by their log odds. The lists of the other symbols are fixed values.
+than clean texts (log-likelihood ratio), as far as they explain toxic texts that no better entry explains; they are weighted
+by their log odds. The lists of the other symbols are fixed values.
 
 Learning uses up to ``PER_CLASS`` labelled rows of each label and never a row whose crc32(id) mod 5 is 0; the counts over
 their texts run as a Spark job, at most ``LEXICON`` entries come to the driver. Scores use nothing but the text.
@@ -29,12 +30,14 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nearfield.llm.common import held_out, text_of
+from nearfield.llm.common import held_out, map_batches, text_of
 from nearfield.llm.learning import logistic, sample_labels
 
 PER_CLASS = 10_000
 LEXICON = 4_000
 MIN_TOXIC_TEXTS, MIN_RATIO, MIN_ODDS = 4, 20.0, 2.5
+MIN_GAIN, MIN_GAIN_SHARE = 3, 0.002
+STRONG_SHARE, STRONG_ODDS = 0.03, 4.0
 STEMS = range(4, 8)
 # Words of the symbols that are not learned (English, German, French, Spanish).
 SEED_THREATS = "kill hurt destroy beat stab shoot burn strangle töten umbringen tuer frapper matar golpear".split()
@@ -187,10 +190,61 @@ def _entry_counts(texts: DataFrame) -> DataFrame:
                  pa.array([v[1] for v in counts.values()], pa.int64()), pa.array([v[0] for v in counts.values()], pa.int64())],
                 ["entry", "stem", "toxic", "clean"])
 
-    parts = texts.mapInArrow(run, "entry string, stem boolean, toxic long, clean long")
+    parts = map_batches(texts, run, "entry string, stem boolean, toxic long, clean long")
     return parts.groupBy("entry", "stem").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
 
 
+def _strong(toxic: dict[tuple[str, bool], int]) -> set[tuple[str, bool]]:
+    """Of frequent, pure entries: the words, and the beginnings that stand for several words; the longest of those that do so alike."""
+    kept = {e for e in toxic if not e[1]}
+    for stem, n in sorted(((e, n) for (e, is_stem), n in toxic.items() if is_stem), key=lambda x: (-len(x[0]), x[0])):
+        one = max((m for (e, is_stem), m in toxic.items() if not is_stem and e.startswith(stem)), default=0)
+        if n >= 1.5 * one and not any(e.startswith(stem) and toxic[e, True] >= 0.9 * n for e, is_stem in kept if is_stem):
+            kept.add((stem, True))
+    return kept
+
+
+def _cover(texts: DataFrame, entries: list[tuple[str, bool, float]], strong: set[tuple[str, bool]]) -> list[tuple[str, bool, float]]:
+    """The strong entries, and the entries that explain toxic texts no better entry explains: one after the other, that which adds
+    most toxic texts and fewest clean ones, down to a gain of ``MIN_GAIN``. Words that merely share long toxic texts with
+    insults fall away."""
+    words = {e: n for n, (e, stem, _) in enumerate(entries) if not stem}
+    stems = {e: n for n, (e, stem, _) in enumerate(entries) if stem}
+
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        for batch in batches:
+            held = []
+            for text in batch.column(0).to_pylist():
+                seen = set(re.findall(r"[^\W\d_]+", text.lower()))
+                held.append(sorted({words[w] for w in seen if w in words} | {stems[w[:n]] for w in seen for n in STEMS if w[:n] in stems and len(w) >= n}))
+            yield pa.RecordBatch.from_arrays([pa.array(held, pa.list_(pa.int32())), batch.column(1)], ["held", "y"])
+
+    rows = map_batches(texts.select("text", "y"), run, "held array<int>, y int").filter(F.size("held") > 0).collect()  # bounded like the sample
+    of: dict[int, set[int]] = {}
+    for n, r in enumerate(rows):
+        for e in r["held"]:
+            of.setdefault(e, set()).add(n)
+    toxic = {n for n, r in enumerate(rows) if r["y"] == 1}
+    least, chosen = max(MIN_GAIN, MIN_GAIN_SHARE * len(toxic)), [x for x in entries if x[:2] in strong]
+    known = set().union(*(of.pop((stems if stem else words)[e], set()) for e, stem, _ in chosen))
+    of = {e: t - known for e, t in of.items()}
+    gain = {e: len(t & toxic) - len(t - toxic) for e, t in of.items()}
+    while gain:
+        best = max(gain, key=lambda e: (gain[e], not entries[e][1], len(entries[e][0]), entries[e][0]))
+        if gain[best] < least:
+            break
+        chosen.append(entries[best])
+        new = of.pop(best)
+        del gain[best]
+        for e in list(of):
+            if not new.isdisjoint(of[e]):
+                of[e] -= new
+                gain[e] = len(of[e] & toxic) - len(of[e] - toxic)
+    return chosen
+
+
 def fit(docs: DataFrame, labels: DataFrame, target: str = "toxic", per_class: int = PER_CLASS, id_col: str = "doc_id", text_col: str = "text") -> Model:
     """Learns the lexicon and the clause weights."""
     sample = sample_labels(labels, target, per_class, id_col)  # bounded: at most 2 * per_class ids
@@ -206,9 +260,11 @@ def fit(docs: DataFrame, labels: DataFrame, target: str = "toxic", per_class: in
     ratio = 2 * (part(x, x + y, t / (t + c)) + part(y, x + y, c / (t + c)))
     picked = (_entry_counts(texts.select("text", "y")).filter(x >= MIN_TOXIC_TEXTS)
               .withColumns({"odds": odds, "ratio": ratio}).filter((F.col("odds") >= MIN_ODDS) & (F.col("ratio") >= MIN_RATIO))
-              .orderBy(F.desc("ratio"), "entry", "stem").limit(LEXICON).select("entry", "stem", "odds").collect())
-    top = max((r["odds"] for r in picked), default=1.0)
-    model = Model({r["entry"]: r["odds"] / top for r in picked if not r["stem"]}, {r["entry"]: r["odds"] / top for r in picked if r["stem"]})
+              .orderBy(F.desc("ratio"), "entry", "stem").limit(LEXICON).select("entry", "stem", "odds", "toxic").collect())
+    strong = _strong({(r["entry"], r["stem"]): r["toxic"] for r in picked if r["toxic"] >= STRONG_SHARE * t and r["odds"] >= STRONG_ODDS})
+    picked = _cover(texts, [(r["entry"], r["stem"], r["odds"]) for r in picked], strong)
+    top = max((odds for *_, odds in picked), default=1.0)
+    model = Model({e: odds / top for e, stem, odds in picked if not stem}, {e: odds / top for e, stem, odds in picked if stem})
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -218,7 +274,7 @@ def fit(docs: DataFrame, labels: DataFrame, target: str = "toxic", per_class: in
             rows = [scorer.features(text) for text in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(pa.float64())), batch.column(1)], ["x", "y"])
 
-    got = texts.select("text", "y").mapInArrow(run, "x array<double>, y int").collect()  # bounded like the sample
+    got = map_batches(texts.select("text", "y"), run, "x array<double>, y int").collect()  # bounded like the sample
     got.sort(key=lambda r: (r["y"], r["x"]))
     labels_ = np.array([float(r["y"]) for r in got])
     # The sample is balanced differently from the corpus of labels; both classes weigh the same.
@@ -241,7 +297,7 @@ def toxicity(docs: DataFrame, model: Model, threshold: float = 0.5, id_col: str
                                               pa.array([int(s >= threshold) for s in scores], pa.int32())], ["doc_id", "held_out", "score", "predicted"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), held_out(id_col).alias("held_out"), text_of(text_col).alias("text"))
-    return rows.mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int")
+    return map_batches(rows, run, "doc_id long, held_out boolean, score double, predicted int")
 
 
 def clean(docs: DataFrame, model: Model, threshold: float = 0.5, text_col: str = "text") -> DataFrame:
@@ -254,4 +310,4 @@ def clean(docs: DataFrame, model: Model, threshold: float = 0.5, text_col: str =
         for batch in batches:
             yield batch.filter(pa.array([scorer.score(text.as_py() or "") < threshold for text in batch.column(at)], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return map_batches(docs, run, docs.schema)
