@@ -88,16 +88,13 @@ def license_blocks(docs: DataFrame, templates=TEMPLATES, threshold: float = THRE
     prefixes = whole.select("template", "label", "size", "need", F.transform("o", lambda x: x["word"]).alias("template_words"),
                             F.posexplode("o").alias("i", "x")).filter(F.col("i") <= F.col("size") - F.col("need"))
     prefixes = prefixes.select("template", "label", "size", "need", "template_words", "i", F.col("x.word").alias("word"))
-    ranks = order.agg(F.array_sort(F.collect_list(F.struct("place", "word"))).alias("o"))
-    ranks = ranks.select(F.transform("o", lambda x: x["word"]).alias("ordered"))
-    rare = prefixes.agg(F.collect_set("word").alias("rare"))
-    # One row each, bounded by the templates: joined to every text on a constant key.
-    side = F.broadcast(ranks.withColumn("_one", F.lit(1)).join(F.broadcast(rare.withColumn("_one", F.lit(1))), "_one"))
-    rows = _keyed(docs, id_col, text_col).withColumn("_one", F.lit(1)).join(side, "_one").drop("_one")
-    lines = (rows.filter(F.arrays_overlap(words(F.col("text")), F.col("rare")))
-             .select("row_key", "doc_id", "ordered", "rare", F.posexplode(F.split("text", "\n")).alias("block", "line")))
+    # Both are one value, bounded by the templates: scalar subqueries.
+    ordered = order.agg(F.array_sort(F.collect_list(F.struct("place", "word"))).alias("o")).select(F.transform("o", lambda x: x["word"])).scalar()
+    rare = prefixes.agg(F.collect_set("word")).scalar()
+    lines = (_keyed(docs, id_col, text_col).filter(F.arrays_overlap(words(F.col("text")), rare))
+             .select("row_key", "doc_id", F.posexplode(F.split("text", "\n")).alias("block", "line")))
     # array_intersect keeps the order of its first argument: the block's template words, rarest first.
-    blocks = lines.select("row_key", "doc_id", "block", "rare", F.array_intersect("ordered", words(F.col("line"))).alias("held"))
+    blocks = lines.select("row_key", "doc_id", "block", F.array_intersect(ordered, words(F.col("line"))).alias("held"))
     starts = blocks.filter(F.size("held") > 0).select("row_key", "doc_id", "block", "held", F.posexplode("held").alias("j", "word"))
     met = starts.join(F.broadcast(prefixes), "word").filter(F.size("held") >= F.col("need"))
     met = met.filter(F.lit(1) + F.least(F.col("size") - 1 - F.col("i"), F.size("held") - 1 - F.col("j")) >= F.col("need"))
