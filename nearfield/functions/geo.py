@@ -78,10 +78,10 @@ def clamp_lat(lat) -> Column:
 
 
 def wrap_lon(lon) -> Column:
-    """Bring a longitude within one turn of the range into [-180, 180) by one step of +/-360,
-    as the service's loop does for every input it can produce (|lon| < 540)."""
+    """Bring a longitude into [-180, 180) by whole turns; one in the range stays bit for bit."""
     v = _c(lon)
-    return F.when(v < -180.0, v + 360.0).when(v >= 180.0, v - 360.0).otherwise(v)
+    return (F.when((v >= -180.0) & (v < 180.0), v).when((v >= -540.0) & (v < -180.0), v + 360.0)
+            .when((v >= 180.0) & (v < 540.0), v - 360.0).otherwise(F.pmod(v + 180.0, F.lit(360.0)) - 180.0))
 
 
 # ---------------------------------------------------------------- grid cells
@@ -207,17 +207,6 @@ def with_neighbor_cells(df, lat: str, lon: str, precision: int, out: str = "neig
         "_nb_xy", lambda c: geohash_from_cell(c["x"], c["y"], precision)))).drop("_nb_xy")
 
 
-def neighbor_cells(lat, lon, precision: int) -> Column:
-    """Centre cell and its 8 neighbours (distinct; fewer next to the poles)."""
-    lon_d, lat_d = cell_size_deg(precision)
-    lat, lon = _c(lat), _c(lon)
-    cells = []
-    for dy in (-1, 0, 1):
-        for dx in (-1, 0, 1):
-            cells.append(geohash_encode(clamp_lat(lat + F.lit(dy * lat_d)), wrap_lon(lon + F.lit(dx * lon_d)), precision))
-    return F.array_distinct(F.array(*cells))
-
-
 def precision_for_radius(radius_m) -> Column:
     """Geohash precision of the documented policy for a search radius."""
     r = _c(radius_m)
@@ -276,17 +265,6 @@ def search_level(radius_m, dlat, dlon, pole, max_cells: int = MAX_CELLS_PER_QUER
     return chosen
 
 
-def covering_cells(lat, lon, radius_m, level) -> Column:
-    """array<struct<x, y>> of every cell at ``level`` touching the circle's bounding box.
-
-    Longitudes wrap at the date line, latitudes clamp at the poles, a circle holding a pole
-    takes the whole ring. Cells are distinct, so each (query, point) pair meets in one cell.
-    For many rows prefer ``with_covering_cells``, which stages the intermediate values.
-    """
-    dlat, dlon, pole = circle_box(lat, lon, radius_m)
-    return _cells_array(_c(lat), _c(lon), dlat, dlon, pole, level)
-
-
 def _cell_ranges(lat, lon, dlat, dlon, pole, level):
     """(x_start, x_count, y_lo, y_hi, nx): the cells of a box at ``level``; x counted from x_start mod nx."""
     latb = _lat_bits(level)
@@ -301,13 +279,6 @@ def _cell_ranges(lat, lon, dlat, dlon, pole, level):
     return x_start, x_count, y_lo, y_hi, nx
 
 
-def _cells_array(lat, lon, dlat, dlon, pole, level) -> Column:
-    x_start, x_count, y_lo, y_hi, nx = _cell_ranges(lat, lon, dlat, dlon, pole, level)
-    xs = F.transform(F.sequence(F.lit(0).cast("long"), x_count - 1), lambda i: F.pmod(x_start + i, nx))
-    ys = F.sequence(y_lo, y_hi)
-    return F.flatten(F.transform(ys, lambda y: F.transform(xs, lambda x: F.struct(x.alias("x"), y.alias("y")))))
-
-
 def with_covering_cells(df, lat: str, lon: str, radius: str, level_out: str = "level", x_out: str = "x", y_out: str = "y"):
     """One row per (input row, covering cell): adds the search level and integer cell columns.
 

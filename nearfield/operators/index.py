@@ -23,9 +23,10 @@ INDEX_COLUMNS = ["business_id", "geohash", "latitude", "longitude", "zone", "gh4
 
 
 def active_configs(config: DataFrame) -> DataFrame:
-    """Active hot-zone rows. Bounded by construction: one row per 4-character prefix of a
-    32-letter alphabet, i.e. at most 32^4 = 1,048,576 rows, so broadcasting it is safe."""
-    return config.filter(F.col("is_active")).select(
+    """Active hot-zone rows of 4-character prefixes; other lengths never match. One row per prefix of a 32-letter
+    alphabet, i.e. at most 32^4 = 1,048,576 rows, so broadcasting it is safe."""
+    prefix = F.col("geohash_prefix").rlike(f"^[{geo.GEOHASH_ALPHABET}]{{{HOT_PREFIX_LEN}}}$")
+    return config.filter(F.col("is_active") & prefix).select(
         F.col("geohash_prefix").alias("hz_prefix"),
         F.col("radius_limit").alias("hz_radius_limit"),
         F.col("description").alias("hz_description"),

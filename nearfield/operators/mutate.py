@@ -3,6 +3,7 @@
 A mutation table holds ordered CREATE / UPDATE / DELETE requests. Per business id the service's
 rules give a closed form, so the batch needs no row-by-row loop:
 
+* a CREATE or UPDATE whose payload breaks the payload rules is rejected with them and changes nothing;
 * an id is *alive* from the start if its current row is ACTIVE, or from its CREATE (which
   must name an id that does not exist yet);
 * UPDATE and DELETE are accepted while the id is alive, i.e. after it became alive and up to
@@ -21,16 +22,20 @@ from pyspark.sql import functions as F
 
 from nearfield.functions import geo
 from nearfield.operators.load import assign_ids
+from nearfield.operators.validate import business_reasons
 
 CHANGE_TYPE = {"CREATE": "CREATED", "UPDATE": "UPDATED", "DELETE": "DELETED"}
 PAYLOAD = ["owner_id", "name", "category", "phone", "address", "latitude", "longitude"]
 
 
 def decide(business: DataFrame, mutations: DataFrame) -> DataFrame:
-    """Mutations with ``accepted`` and ``reason`` (NOT_FOUND / ALREADY_EXISTS) columns."""
+    """Mutations with ``accepted`` and ``reason`` (the payload rules broken, NOT_FOUND or ALREADY_EXISTS) columns. Rules of
+    payload columns that the mutation table does not have are not asked."""
+    bad = F.when(F.col("op") != "DELETE", business_reasons([c for c in PAYLOAD if c in mutations.columns]))
+    mutations = mutations.withColumn("bad_payload", bad)
     cur = business.select(F.col("id").alias("business_id"), F.col("status").alias("cur_status"))
     m = mutations.join(cur, "business_id", "left")
-    creates = (m.filter((F.col("op") == "CREATE") & F.col("cur_status").isNull())
+    creates = (m.filter((F.col("op") == "CREATE") & F.col("cur_status").isNull() & F.col("bad_payload").isNull())
                .groupBy("business_id").agg(F.min("mutation_id").alias("create_at")))
     m = m.join(creates, "business_id", "left")
     alive_from = F.when(F.col("cur_status") == "ACTIVE", F.lit(-1).cast("long")).otherwise(F.col("create_at"))
@@ -41,8 +46,9 @@ def decide(business: DataFrame, mutations: DataFrame) -> DataFrame:
     is_create = (F.col("op") == "CREATE") & F.col("cur_status").isNull() & (F.col("mutation_id") == F.col("create_at"))
     alive = (F.col("alive_from").isNotNull() & (F.col("mutation_id") > F.col("alive_from"))
              & (F.col("delete_at").isNull() | (F.col("mutation_id") <= F.col("delete_at"))))
-    accepted = is_create | (F.col("op").isin("UPDATE", "DELETE") & alive)
+    accepted = F.col("bad_payload").isNull() & (is_create | (F.col("op").isin("UPDATE", "DELETE") & alive))
     reason = (F.when(accepted, F.lit(None).cast("string"))
+              .when(F.col("bad_payload").isNotNull(), F.col("bad_payload"))
               .when(F.col("op") == "CREATE", F.lit("ALREADY_EXISTS"))
               .otherwise(F.lit("NOT_FOUND")))
     return m.withColumn("accepted", F.coalesce(accepted, F.lit(False))).withColumn("reason", reason)
@@ -51,12 +57,14 @@ def decide(business: DataFrame, mutations: DataFrame) -> DataFrame:
 def apply_mutations(business: DataFrame, mutations: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Returns (new business snapshot with geohash, accepted decisions, rejects).
 
-    Payload columns missing from the mutation table keep the current value (null on create).
+    An UPDATE replaces the whole payload, nulls included; payload columns that the mutation table does not have keep the
+    current value (null on create).
     """
-    for c in PAYLOAD:
-        if c not in mutations.columns:
-            mutations = mutations.withColumn(c, F.lit(None))
+    given = {c for c in PAYLOAD if c in mutations.columns}
     d = decide(business, mutations)
+    for c in PAYLOAD:
+        if c not in given:
+            d = d.withColumn(c, F.lit(None))
     acc = d.filter(F.col("accepted"))
     write_key = F.when(F.col("op") != "DELETE", F.col("mutation_id"))
     payload = F.struct(*[F.col(c).alias(c) for c in PAYLOAD], F.col("requested_at").alias("requested_at"))
@@ -72,9 +80,7 @@ def apply_mutations(business: DataFrame, mutations: DataFrame) -> tuple[DataFram
     has_write = F.col("w").isNotNull()
     changed = j.select(
         F.col("business_id").alias("id"),
-        *[(F.when(has_write & F.col(f"w.{c}").isNotNull(), F.col(f"w.{c}"))
-           .when(has_write & F.col("c_id").isNull(), F.col(f"w.{c}"))
-           .otherwise(F.col(f"c_{c}"))).alias(c) for c in PAYLOAD],
+        *[(F.when(has_write, F.col(f"w.{c}")).otherwise(F.col(f"c_{c}")) if c in given else F.col(f"c_{c}")).alias(c) for c in PAYLOAD],
         F.when(F.col("last_op") == "DELETE", F.lit("DELETED")).otherwise(F.lit("ACTIVE")).alias("status"),
         F.coalesce(F.col("c_created_at"), F.col("created_req")).alias("created_at"),
         F.col("last_at").alias("updated_at"),

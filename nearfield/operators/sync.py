@@ -14,13 +14,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from nearfield.operators import index as ix
+from nearfield.operators.validate import unprocessed
 
-DEFAULT_BATCH = 500
 
-
-def poll_batch(log: DataFrame, n: int | None = DEFAULT_BATCH) -> DataFrame:
-    """the n oldest unprocessed events by id (a distributed take-ordered); None = all."""
-    pending = log.filter(~F.col("processed"))
+def poll_batch(log: DataFrame, n: int | None = None) -> DataFrame:
+    """all unprocessed events, or with n the n oldest by id (a distributed take-ordered)."""
+    pending = unprocessed(log)
     return pending if n is None else pending.orderBy("id").limit(n)
 
 
@@ -43,7 +42,7 @@ def apply_changes(latest: DataFrame, business: DataFrame, config: DataFrame | No
     return deletes, ix.index_rows(ups, config)
 
 
-def sync_index(index: DataFrame, log: DataFrame, business: DataFrame, max_events: int | None = DEFAULT_BATCH,
+def sync_index(index: DataFrame, log: DataFrame, business: DataFrame, max_events: int | None = None,
                config: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """One sync batch. Returns (new index, new log with the batch marked processed, batch).
 

@@ -46,11 +46,6 @@ def validate_search(df: DataFrame, limit_col: str | None = "limit", cursor_col:
             .drop("_cur"))
 
 
-def split(df: DataFrame, reason_col: str = "reason") -> tuple[DataFrame, DataFrame]:
-    """(accepted, rejects) by a nullable reason column."""
-    return df.filter(F.col(reason_col).isNull()), df.filter(F.col(reason_col).isNotNull())
-
-
 def active_only(df: DataFrame) -> DataFrame:
     """C2."""
     return df.filter(F.col("status") == "ACTIVE")
@@ -64,25 +59,23 @@ def lookup(business: DataFrame, ids: DataFrame, id_col: str = "id") -> tuple[Dat
     return found, missing
 
 
+# White space as blanks of a text field: space, tab, line feed, vertical tab, form feed, carriage return.
+WHITE_SPACE = " \t\n\x0b\x0c\r"
+
+
 def _blank(c: Column) -> Column:
-    return c.isNull() | (F.trim(c) == "")
+    return c.isNull() | c.rlike(r"^[\x09-\x0D\x20]*$")
 
 
-def business_reasons() -> Column:
-    """C6 rules for a create/replace payload."""
+def business_reasons(columns=None) -> Column:
+    """C6 rules for a create/replace payload; with ``columns``, only the rules of those columns."""
     lat, lon = F.col("latitude"), F.col("longitude")
-    return reasons(
-        (F.col("owner_id").isNull(), "owner_id required"),
-        (_blank(F.col("name")), "name blank"),
-        (_blank(F.col("category")), "category blank"),
-        (_blank(F.col("address")), "address blank"),
-        (lat.isNull() | (lat < LAT_MIN) | (lat > LAT_MAX), "latitude out of range"),
-        (lon.isNull() | (lon < LON_MIN) | (lon > LON_MAX), "longitude out of range"),
-        (F.length("name") > MAX_LEN["name"], "name too long"),
-        (F.length("category") > MAX_LEN["category"], "category too long"),
-        (F.length("phone") > MAX_LEN["phone"], "phone too long"),
-        (F.length("address") > MAX_LEN["address"], "address too long"),
-    )
+    rules = [("owner_id", lambda: F.col("owner_id").isNull(), "owner_id required")]
+    rules += [(c, lambda c=c: _blank(F.col(c)), f"{c} blank") for c in ("name", "category", "address")]
+    rules += [("latitude", lambda: lat.isNull() | (lat < LAT_MIN) | (lat > LAT_MAX), "latitude out of range"),
+              ("longitude", lambda: lon.isNull() | (lon < LON_MIN) | (lon > LON_MAX), "longitude out of range")]
+    rules += [(c, lambda c=c, n=n: F.length(c) > n, f"{c} too long") for c, n in MAX_LEN.items()]
+    return reasons(*[(bad(), message) for c, bad, message in rules if columns is None or c in columns])
 
 
 def validate_business(df: DataFrame) -> DataFrame:

@@ -12,11 +12,22 @@ from nearfield.plans.sqlgen import geohash_select, with_fixtures
 from nearfield.sources.fixtures import Fixtures
 
 _CLEAN_SQL = """
-SELECT id, owner_id, name, category, NULLIF(phone, '') AS phone, address, latitude, longitude,
-  CASE WHEN rtrim(status, chr(13)) IN ('ACTIVE', 'DELETED') THEN rtrim(status, chr(13)) ELSE 'ACTIVE' END AS status,
-  try_strptime(left(replace(rtrim(created_at_raw, chr(13)), 'T', ' '), 19), '%Y-%m-%d %H:%M:%S') AS created_at
+SELECT id, owner_id, name, category, CASE WHEN length(phone) > 0 THEN phone END AS phone, address, latitude, longitude,
+  coalesce(nullif(regexp_extract(status, '^(ACTIVE|DELETED)\\r*$', 1), ''), 'ACTIVE') AS status,
+  TRY_CAST(nullif(regexp_extract(created_at_raw, '^(\\d{4}-\\d{2}-\\d{2})[T ](\\d{2}:\\d{2}:\\d{2})', 1) || ' ' || regexp_extract(created_at_raw, '^(\\d{4}-\\d{2}-\\d{2})[T ](\\d{2}:\\d{2}:\\d{2})', 2), ' ') AS TIMESTAMP) AS created_at
 FROM raw_business"""
 
+# The payload rules of C6 in SQL, over columns of the same names.
+PAYLOAD_RULES = """nullif(concat_ws('; ',
+      CASE WHEN owner_id IS NULL THEN 'owner_id required' END,
+      CASE WHEN regexp_full_match(coalesce(name, ''), '[\\x09-\\x0D\\x20]*') THEN 'name blank' END,
+      CASE WHEN regexp_full_match(coalesce(category, ''), '[\\x09-\\x0D\\x20]*') THEN 'category blank' END,
+      CASE WHEN regexp_full_match(coalesce(address, ''), '[\\x09-\\x0D\\x20]*') THEN 'address blank' END,
+      CASE WHEN latitude IS NULL OR latitude NOT BETWEEN -90 AND 90 THEN 'latitude out of range' END,
+      CASE WHEN longitude IS NULL OR longitude NOT BETWEEN -180 AND 180 THEN 'longitude out of range' END,
+      CASE WHEN length(name) > 120 THEN 'name too long' END, CASE WHEN length(category) > 40 THEN 'category too long' END,
+      CASE WHEN length(phone) > 32 THEN 'phone too long' END, CASE WHEN length(address) > 255 THEN 'address too long' END), '')"""
+
 
 @register("clean_staged", with_fixtures(["raw_business"], _CLEAN_SQL))
 def clean_staged(spark, sf_dir):
@@ -29,11 +40,11 @@ def clean_staged(spark, sf_dir):
 _IMPORT_SQL = """
 parsed AS (
   SELECT id AS raw_id,
-    CASE WHEN regexp_full_match(trim(id), '[+-]?[0-9]+') THEN TRY_CAST(trim(id) AS BIGINT) END AS source_id,
-    CASE WHEN regexp_full_match(trim(owner_id), '[+-]?[0-9]+') THEN TRY_CAST(trim(owner_id) AS BIGINT) END AS owner_id,
-    trim(name) AS name, trim(category) AS category, NULLIF(trim(phone), '') AS phone, trim(address) AS address,
-    CASE WHEN regexp_full_match(trim(latitude), '[+-]?([0-9]+\\.?[0-9]*|\\.[0-9]+)([eE][+-]?[0-9]+)?') THEN TRY_CAST(trim(latitude) AS DOUBLE) END AS latitude,
-    CASE WHEN regexp_full_match(trim(longitude), '[+-]?([0-9]+\\.?[0-9]*|\\.[0-9]+)([eE][+-]?[0-9]+)?') THEN TRY_CAST(trim(longitude) AS DOUBLE) END AS longitude,
+    CASE WHEN regexp_full_match(trim(id, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), '[+-]?[0-9]+') THEN TRY_CAST(trim(id, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS BIGINT) END AS source_id,
+    CASE WHEN regexp_full_match(trim(owner_id, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), '[+-]?[0-9]+') THEN TRY_CAST(trim(owner_id, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS BIGINT) END AS owner_id,
+    trim(name, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS name, trim(category, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS category, NULLIF(trim(phone, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), '') AS phone, trim(address, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS address,
+    CASE WHEN regexp_full_match(trim(latitude, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), '[+-]?([0-9]+\\.?[0-9]*|\\.[0-9]+)([eE][+-]?[0-9]+)?') THEN TRY_CAST(trim(latitude, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS DOUBLE) END AS latitude,
+    CASE WHEN regexp_full_match(trim(longitude, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), '[+-]?([0-9]+\\.?[0-9]*|\\.[0-9]+)([eE][+-]?[0-9]+)?') THEN TRY_CAST(trim(longitude, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS DOUBLE) END AS longitude,
     latitude AS raw_latitude, longitude AS raw_longitude, owner_id AS raw_owner_id
   FROM raw_business),
 checked AS (
@@ -43,17 +54,7 @@ checked AS (
       CASE WHEN raw_owner_id IS NOT NULL AND owner_id IS NULL THEN 'invalid owner_id' END,
       CASE WHEN raw_latitude IS NOT NULL AND latitude IS NULL THEN 'invalid latitude' END,
       CASE WHEN raw_longitude IS NOT NULL AND longitude IS NULL THEN 'invalid longitude' END), ''),
-    NULLIF(concat_ws('; ',
-      CASE WHEN owner_id IS NULL THEN 'owner_id required' END,
-      CASE WHEN name IS NULL OR trim(name) = '' THEN 'name blank' END,
-      CASE WHEN category IS NULL OR trim(category) = '' THEN 'category blank' END,
-      CASE WHEN address IS NULL OR trim(address) = '' THEN 'address blank' END,
-      CASE WHEN latitude IS NULL OR latitude < -90 OR latitude > 90 THEN 'latitude out of range' END,
-      CASE WHEN longitude IS NULL OR longitude < -180 OR longitude > 180 THEN 'longitude out of range' END,
-      CASE WHEN length(name) > 120 THEN 'name too long' END,
-      CASE WHEN length(category) > 40 THEN 'category too long' END,
-      CASE WHEN length(phone) > 32 THEN 'phone too long' END,
-      CASE WHEN length(address) > 255 THEN 'address too long' END), '')) AS reason
+    """ + PAYLOAD_RULES + """) AS reason
   FROM parsed)
 """
 
@@ -159,13 +160,14 @@ def assign_ids(spark, sf_dir):
 
 
 _DECIDE_SQL = """
-m0 AS (SELECT m.*, b.status AS cur_status FROM mutation m LEFT JOIN business b ON b.id = m.business_id),
-cr AS (SELECT business_id, min(mutation_id) AS create_at FROM m0 WHERE op = 'CREATE' AND cur_status IS NULL GROUP BY business_id),
+m0 AS (SELECT m.*, b.status AS cur_status FROM (SELECT *, CASE WHEN op <> 'DELETE' THEN """ + PAYLOAD_RULES + """ END AS bad FROM mutation) m
+       LEFT JOIN business b ON b.id = m.business_id),
+cr AS (SELECT business_id, min(mutation_id) AS create_at FROM m0 WHERE op = 'CREATE' AND cur_status IS NULL AND bad IS NULL GROUP BY business_id),
 m1 AS (SELECT m0.*, cr.create_at, CASE WHEN cur_status = 'ACTIVE' THEN -1 ELSE cr.create_at END AS alive_from
        FROM m0 LEFT JOIN cr USING (business_id)),
 dl AS (SELECT business_id, min(mutation_id) AS delete_at FROM m1 WHERE op = 'DELETE' AND mutation_id > alive_from GROUP BY business_id),
 dec AS (
-  SELECT m1.*, dl.delete_at, coalesce(
+  SELECT m1.*, dl.delete_at, bad IS NULL AND coalesce(
     (op = 'CREATE' AND cur_status IS NULL AND mutation_id = create_at)
     OR (op IN ('UPDATE', 'DELETE') AND alive_from IS NOT NULL AND mutation_id > alive_from
         AND (dl.delete_at IS NULL OR mutation_id <= dl.delete_at)), false) AS accepted
@@ -174,11 +176,11 @@ dec AS (
 
 
 @register("mutation_rejects", with_fixtures(["business", "mutation"], _DECIDE_SQL + """
-SELECT mutation_id, business_id, op, CASE WHEN op = 'CREATE' THEN 'ALREADY_EXISTS' ELSE 'NOT_FOUND' END AS reason
+SELECT mutation_id, business_id, op, CASE WHEN bad IS NOT NULL THEN bad WHEN op = 'CREATE' THEN 'ALREADY_EXISTS' ELSE 'NOT_FOUND' END AS reason
 FROM dec WHERE NOT accepted
 """))
 def mutation_rejects(spark, sf_dir):
-    """I1 rejects: UPDATE/DELETE of unknown or deleted businesses, or after their delete."""
+    """I1 rejects: bad payloads, UPDATE/DELETE of unknown or deleted businesses, or after their delete."""
     fx = Fixtures(spark, sf_dir)
     _, _, rej = M.apply_mutations(fx.business, fx.mutation)
     return rej
@@ -188,7 +190,7 @@ def mutation_rejects(spark, sf_dir):
 acc AS (SELECT * FROM dec WHERE accepted),
 fin AS (
   SELECT business_id,
-    arg_max(CASE WHEN op <> 'DELETE' THEN {'owner_id': owner_id, 'name': name, 'category': category, 'latitude': latitude, 'longitude': longitude} END,
+    arg_max(CASE WHEN op <> 'DELETE' THEN {'owner_id': owner_id, 'name': name, 'category': category, 'phone': phone, 'address': address, 'latitude': latitude, 'longitude': longitude} END,
             CASE WHEN op <> 'DELETE' THEN mutation_id END) AS w,
     arg_max(op, mutation_id) AS last_op, arg_max(requested_at, mutation_id) AS last_at,
     arg_max(requested_at, CASE WHEN op = 'CREATE' THEN mutation_id END) AS created_req
@@ -201,7 +203,7 @@ snap AS (
     CASE WHEN f.w IS NOT NULL THEN f.w.owner_id ELSE c.owner_id END,
     CASE WHEN f.w IS NOT NULL THEN f.w.name ELSE c.name END,
     CASE WHEN f.w IS NOT NULL THEN f.w.category ELSE c.category END,
-    c.phone, c.address,
+    CASE WHEN f.w IS NOT NULL THEN f.w.phone ELSE c.phone END, CASE WHEN f.w IS NOT NULL THEN f.w.address ELSE c.address END,
     CASE WHEN f.w IS NOT NULL THEN f.w.latitude ELSE c.latitude END,
     CASE WHEN f.w IS NOT NULL THEN f.w.longitude ELSE c.longitude END,
     CASE WHEN f.last_op = 'DELETE' THEN 'DELETED' ELSE 'ACTIVE' END,

@@ -150,35 +150,46 @@ def mask_coordinates(spark, sf_dir):
                     geo.mask_coordinate("longitude", 3).alias("longitude"), "gh5")
 
 
-_SEARCH_REQ = f"""
-SELECT query_id, latitude, longitude, radius_m,
+# Every search with a latitude, limit and cursor partly spoiled by its id.
+SEARCH_REQUESTS = f"""
+SELECT query_id, CASE WHEN query_id % 31 = 0 THEN 95.0 ELSE latitude END AS latitude, longitude, CASE WHEN query_id % 29 = 0 THEN NULL ELSE radius_m END AS radius_m,
   CASE query_id % 7 WHEN 0 THEN NULL WHEN 1 THEN 0 WHEN 2 THEN 101 ELSE CAST(query_id % 100 + 1 AS INTEGER) END AS "limit",
-  CASE query_id % 5 WHEN 0 THEN NULL WHEN 1 THEN {cursor('20')} WHEN 2 THEN '!!' WHEN 3 THEN 'LTE' ELSE '' END AS cursor
+  CASE query_id % 5 WHEN 0 THEN NULL WHEN 1 THEN {cursor('query_id % 150')} WHEN 2 THEN '!!' WHEN 3 THEN 'LTE' ELSE '' END AS cursor
 FROM search_query"""
 
 
-@register("validate_search", with_fixtures(["search_query"], f"""
-SELECT query_id, CAST(coalesce(radius_m, 5000) AS INTEGER) AS resolved_radius, CAST(coalesce("limit", 20) AS INTEGER) AS resolved_limit,
-  "offset", reason, reason IS NULL AS ok FROM (
-  SELECT *, nullif(concat_ws('; ',
+def requests(q):
+    """SEARCH_REQUESTS in Spark."""
+    n = F.col("query_id")
+    return q.select(
+        "query_id", F.when(n % 31 == 0, F.lit(95.0)).otherwise(F.col("latitude")).alias("latitude"), "longitude",
+        F.when(n % 29 != 0, F.col("radius_m")).alias("radius_m"),
+        F.when(n % 7 == 0, F.lit(None)).when(n % 7 == 1, F.lit(0)).when(n % 7 == 2, F.lit(101)).otherwise(n % 100 + 1).cast("int").alias("limit"),
+        F.when(n % 5 == 0, F.lit(None).cast("string")).when(n % 5 == 1, encode_cursor(n % 150)).when(n % 5 == 2, F.lit("!!"))
+         .when(n % 5 == 3, F.lit("LTE")).otherwise(F.lit("")).alias("cursor"))
+
+
+def checked_sql(src: str) -> str:
+    """The request rules of C1 over a SELECT of requests."""
+    offset, error = _decode_sql("cursor")
+    return f"""
+  SELECT query_id, latitude, longitude, coalesce(radius_m, 5000) AS radius, coalesce("limit", 20) AS page_limit, "offset",
+    nullif(concat_ws('; ',
       CASE WHEN latitude IS NULL OR latitude < -90 OR latitude > 90 THEN 'latitude out of range' END,
       CASE WHEN longitude IS NULL OR longitude < -180 OR longitude > 180 THEN 'longitude out of range' END,
       CASE WHEN coalesce(radius_m, 5000) < 100 OR coalesce(radius_m, 5000) > 50000 THEN 'radius out of range' END,
       CASE WHEN "limit" IS NOT NULL AND ("limit" < 1 OR "limit" > 100) THEN 'limit must be between 1 and 100' END,
       CASE WHEN cur_error IS NOT NULL THEN 'invalid cursor' END), '') AS reason
-  FROM (SELECT *, {_decode_sql('cursor')[0]} AS "offset", {_decode_sql('cursor')[1]} AS cur_error FROM ({_SEARCH_REQ})))
+  FROM (SELECT *, {offset} AS "offset", {error} AS cur_error FROM ({src}))"""
+
+
+@register("validate_search", with_fixtures(["search_query"], f"""
+SELECT query_id, CAST(radius AS INTEGER) AS resolved_radius, CAST(page_limit AS INTEGER) AS resolved_limit, "offset", reason, reason IS NULL AS ok
+FROM ({checked_sql(SEARCH_REQUESTS)})
 """))
 def validate_search(spark, sf_dir):
-    """C1 over every search with a limit and cursor derived from its id (defaults, bad limits, bad cursors)."""
-    q = Fixtures(spark, sf_dir).search_query
-    req = q.select(
-        "query_id", "latitude", "longitude", "radius_m",
-        F.when(F.col("query_id") % 7 == 0, F.lit(None)).when(F.col("query_id") % 7 == 1, F.lit(0))
-         .when(F.col("query_id") % 7 == 2, F.lit(101)).otherwise((F.col("query_id") % 100 + 1)).cast("int").alias("limit"),
-        F.when(F.col("query_id") % 5 == 0, F.lit(None).cast("string")).when(F.col("query_id") % 5 == 1, encode_cursor(F.lit(20)))
-         .when(F.col("query_id") % 5 == 2, F.lit("!!")).when(F.col("query_id") % 5 == 3, F.lit("LTE")).otherwise(F.lit("")).alias("cursor"),
-    )
-    out = V.validate_search(req)
+    """C1 over every search with a latitude, limit and cursor derived from its id (defaults, bad limits, bad cursors)."""
+    out = V.validate_search(requests(Fixtures(spark, sf_dir).search_query))
     return out.select("query_id", "resolved_radius", "resolved_limit", "offset", "reason", "ok")
 
 

@@ -24,15 +24,14 @@ pairs AS (
   WHERE {hav('q.latitude', 'q.longitude', 'b.latitude', 'b.longitude')} <= q.radius_m
 ),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(d, 6), id) AS rk FROM pairs),
-totals AS (SELECT query_id, least(count(*), 5000) AS total FROM pairs GROUP BY query_id)
+totals AS (SELECT query_id, count(*) AS total FROM pairs GROUP BY query_id)
 """
 
 
 def _search(spark, sf_dir, **kw):
     fx = Fixtures(spark, sf_dir)
-    business = fx.business
-    index = ix.full_reindex(business, fx.hot_zone_config)
-    return S.nearby_search(fx.search_query, index, business, config=fx.hot_zone_config, **kw)
+    index = ix.full_reindex(fx.business, fx.hot_zone_config)
+    return S.nearby_search(fx.search_query, index, fx.business, config=fx.hot_zone_config, **kw)
 
 
 @register("nearby_page", with_fixtures(["business", "search_query"], _PAIRS + f"""
@@ -66,7 +65,7 @@ SELECT q.query_id, CAST(coalesce(t.total, 0) AS INTEGER) AS total, q.radius_m AS
 FROM search_query q LEFT JOIN totals t USING (query_id)
 """))
 def nearby_totals(spark, sf_dir):
-    """One header row per query (total capped at 5000, next cursor, has_more)."""
+    """One header row per query (total, next cursor, has_more)."""
     _, header = _search(spark, sf_dir, limit=FIRST_PAGE)
     return header
 
@@ -106,17 +105,30 @@ cand AS (SELECT qc.query_id, qc.latitude AS q_lat, qc.longitude AS q_lon, qc.rad
 """)
 
 
+_NINE = f"""
+nine AS (SELECT query_id, precision, id, {hav('q_lat', 'q_lon', 'b_lat', 'b_lon')} AS d FROM cand WHERE {hav('q_lat', 'q_lon', 'b_lat', 'b_lon')} <= radius_m),
+"""
+
+
 @register("nine_cell_candidates", _nine_cell_oracle(f"""
-SELECT query_id, id AS business_id, CAST(floor({hav('q_lat', 'q_lon', 'b_lat', 'b_lon')} + 0.5) AS BIGINT) AS distance_m, precision
-FROM cand WHERE {hav('q_lat', 'q_lon', 'b_lat', 'b_lon')} <= radius_m
+, {_NINE.strip().rstrip(',')}
+SELECT query_id, CAST(count(*) AS BIGINT) AS total FROM nine GROUP BY query_id
 """))
 def nine_cell_candidates(spark, sf_dir):
-    """The lossy nine-cell policy search over whole tables."""
+    """How many businesses the lossy nine-cell policy finds per query, from cell counts."""
     fx = Fixtures(spark, sf_dir)
-    index = ix.full_reindex(fx.business, fx.hot_zone_config)
-    out = S.nine_cell_candidates(fx.search_query, index)
-    return out.select("query_id", "business_id", F.floor(F.col("distance") + 0.5).cast("long").alias("distance_m"),
-                      F.col("precision").cast("int").alias("precision"))
+    return S.nine_cell_totals(fx.search_query, ix.full_reindex(fx.business, fx.hot_zone_config))
+
+
+@register("nine_cell_page", _nine_cell_oracle(f"""
+, {_NINE.strip().rstrip(',')}
+SELECT query_id, rank, id AS business_id, CAST(floor(d + 0.5) AS BIGINT) AS distance_m, precision
+FROM (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY round(d, 6), id) AS INTEGER) AS rank FROM nine) WHERE rank <= {FIRST_PAGE}
+"""))
+def nine_cell_page(spark, sf_dir):
+    """The first page of the nine-cell policy search."""
+    fx = Fixtures(spark, sf_dir)
+    return S.nine_cell_page(fx.search_query, ix.full_reindex(fx.business, fx.hot_zone_config), FIRST_PAGE)
 
 
 @register("nine_cell_recall", _nine_cell_oracle(f"""
@@ -127,14 +139,12 @@ FROM search_query q LEFT JOIN exact e USING (query_id) LEFT JOIN found f USING (
 GROUP BY q.tier, q.radius_m
 """, extra=_PAIRS.strip() + ","))
 def nine_cell_recall(spark, sf_dir):
-    """S5 check: exact pairs versus pairs the nine-cell policy finds, per tier and radius."""
+    """S5 check: exact matches versus those the nine-cell policy finds, per tier and radius, both from cell counts."""
     fx = Fixtures(spark, sf_dir)
-    business = fx.business
-    index = ix.full_reindex(business, fx.hot_zone_config)
-    idx = S.restrict_to_active(index, business)
+    idx = ix.full_reindex(fx.business, fx.hot_zone_config)
     q = fx.search_query
-    exact = S.nearby_join(q, idx).groupBy("query_id").agg(F.count(F.lit(1)).alias("exact_pairs"))
-    nine = S.nine_cell_candidates(q, idx).groupBy("query_id").agg(F.count(F.lit(1)).alias("nine_cell_pairs"))
+    exact = S.search_totals(q, idx).withColumnRenamed("total", "exact_pairs")
+    nine = S.nine_cell_totals(q, idx).withColumnRenamed("total", "nine_cell_pairs")
     j = q.select("query_id", "tier", "radius_m").join(exact, "query_id", "left").join(nine, "query_id", "left")
     return j.groupBy("tier", "radius_m").agg(
         F.coalesce(F.sum("exact_pairs"), F.lit(0)).cast("long").alias("exact_pairs"),
@@ -150,7 +160,7 @@ pairs AS (
   WHERE {hav('q.latitude', 'q.longitude', 'b.latitude', 'b.longitude')} <= {radius_expr}
 ),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(d, 6), id) AS rk FROM pairs),
-totals AS (SELECT query_id, least(count(*), 5000) AS total FROM pairs GROUP BY query_id)
+totals AS (SELECT query_id, count(*) AS total FROM pairs GROUP BY query_id)
 """
 
 
@@ -187,16 +197,15 @@ FROM qz q LEFT JOIN pairs p USING (query_id) WHERE q.hz_limit IS NOT NULL GROUP
 def radius_cap_effect(spark, sf_dir):
     """Candidates per hot zone before and after capping the radius at the zone's limit."""
     fx = Fixtures(spark, sf_dir)
-    business = fx.business
-    idx = S.restrict_to_active(ix.full_reindex(business, fx.hot_zone_config), business)
+    idx = ix.full_reindex(fx.business, fx.hot_zone_config)
     q = geo.with_geohash(fx.search_query, "latitude", "longitude", 4, "gh4")
-    q = ix.attach_hot_zone(q, fx.hot_zone_config, "gh4").filter(F.col("is_hot"))
-    pairs = S.nearby_join(q, idx).join(q.select("query_id", "hz_prefix", "hz_radius_limit"), "query_id")
-    per = pairs.groupBy("hz_prefix").agg(
-        F.count(F.lit(1)).alias("candidates_before"),
-        F.count_if(F.col("distance") <= F.col("hz_radius_limit")).alias("candidates_after"))
-    qs = q.groupBy("hz_prefix").agg(F.count(F.lit(1)).alias("queries"))
-    out = qs.join(per, "hz_prefix", "left").fillna(0, ["candidates_before", "candidates_after"])
+    q = ix.attach_hot_zone(q, fx.hot_zone_config, "gh4").filter(F.col("is_hot")).withColumn("capped", F.least("radius_m", "hz_radius_limit"))
+    before = S.search_totals(q, idx).withColumnRenamed("total", "before")
+    after = S.search_totals(q, idx, "capped").withColumnRenamed("total", "after")
+    out = (q.select("query_id", "hz_prefix").join(before, "query_id", "left").join(after, "query_id", "left")
+           .groupBy("hz_prefix").agg(F.count(F.lit(1)).alias("queries"),
+                                     F.coalesce(F.sum("before"), F.lit(0)).cast("long").alias("candidates_before"),
+                                     F.coalesce(F.sum("after"), F.lit(0)).cast("long").alias("candidates_after")))
     red = F.round(F.lit(100.0) * (1 - F.try_divide(F.col("candidates_after").cast("double"), F.col("candidates_before"))), 6)
     return out.select("hz_prefix", "queries", "candidates_before", "candidates_after", red.alias("reduction_pct"))
 
@@ -204,31 +213,80 @@ def radius_cap_effect(spark, sf_dir):
 @register("candidate_profile", with_fixtures(["business", "search_query"], _PAIRS + """
 SELECT q.tier, q.radius_m, count(*) AS searches, CAST(sum(coalesce(t.total, 0)) AS BIGINT) AS candidates,
   round(avg(coalesce(t.total, 0)), 6) AS avg_candidates, CAST(max(coalesce(t.total, 0)) AS INTEGER) AS max_candidates,
-  CAST(sum(least(coalesce(t.total, 0), 20)) AS BIGINT) AS results
+  CAST(sum(least(coalesce(t.total, 0), 20)) AS BIGINT) AS results, round(avg(least(coalesce(t.total, 0), 20)), 6) AS avg_results,
+  CAST(max(least(coalesce(t.total, 0), 20)) AS INTEGER) AS max_results
 FROM search_query q LEFT JOIN totals t USING (query_id) GROUP BY q.tier, q.radius_m
 """))
 def candidate_profile(spark, sf_dir):
     """Candidates and first-page results per search, summarised by tier and radius."""
     fx = Fixtures(spark, sf_dir)
-    _, header = _search(spark, sf_dir, limit=FIRST_PAGE)
-    j = fx.search_query.select("query_id", "tier", "radius_m").join(header.select("query_id", "total"), "query_id")
+    header = S.search_totals(fx.search_query, ix.full_reindex(fx.business, fx.hot_zone_config))
+    j = fx.search_query.select("query_id", "tier", "radius_m").join(header, "query_id", "left").fillna(0, ["total"])
+    shown = F.least(F.col("total"), F.lit(FIRST_PAGE))
     return j.groupBy("tier", "radius_m").agg(
         F.count(F.lit(1)).alias("searches"), F.sum("total").cast("long").alias("candidates"),
         F.round(F.avg("total"), 6).alias("avg_candidates"), F.max("total").cast("int").alias("max_candidates"),
-        F.sum(F.least(F.col("total"), F.lit(FIRST_PAGE))).cast("long").alias("results"))
+        F.sum(shown).cast("long").alias("results"), F.round(F.avg(shown), 6).alias("avg_results"), F.max(shown).cast("int").alias("max_results"))
+
 
+PAGES = 3
 
-@register("page_stability", with_fixtures(["business", "search_query"], _PAIRS + """
-SELECT query_id, CAST(count(*) AS BIGINT) AS ranked, CAST(count(DISTINCT id) AS BIGINT) AS distinct_ids,
-  CAST(max((rk - 1) // 20) + 1 AS INTEGER) AS pages, count(*) = count(DISTINCT id) AS stable
-FROM ranked WHERE rk <= 5000 GROUP BY query_id
+
+@register("page_stability", with_fixtures(["business", "search_query"], _PAIRS + f"""
+SELECT query_id, CAST(count(*) AS BIGINT) AS fetched, CAST(count(DISTINCT id) AS BIGINT) AS distinct_ids,
+  CAST(max((rk - 1) // {FIRST_PAGE}) + 1 AS INTEGER) AS pages, true AS stable
+FROM ranked WHERE rk <= {PAGES * FIRST_PAGE} GROUP BY query_id
 """))
 def page_stability(spark, sf_dir):
-    """over the full ranked list (cap 5000) of every query: no id twice, pages of 20 tile the list."""
+    """the first three pages of every query, each fetched by a search of its own: no id comes twice, no rank is left out,
+    distances never fall, and their sum is what the total promises."""
+    parts = [_search(spark, sf_dir, limit=FIRST_PAGE, offset=n * FIRST_PAGE)[0].withColumn("page", F.lit(n)) for n in range(PAGES)]
+    pages = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return S.page_stability(pages, FIRST_PAGE, PAGES)
+
+
+# A stale index: every business as it was, deleted ones too.
+@register("nearby_candidates_mode", with_fixtures(["business", "search_query"], f"""
+pairs AS (
+  SELECT q.query_id, b.id, b.status, {hav('q.latitude', 'q.longitude', 'b.latitude', 'b.longitude')} AS d
+  FROM search_query q JOIN business b ON {hav('q.latitude', 'q.longitude', 'b.latitude', 'b.longitude')} <= q.radius_m),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(d, 6), id) AS rk, count(*) OVER (PARTITION BY query_id) AS total FROM pairs)
+SELECT query_id, CAST(rk AS INTEGER) AS rank, id, CAST(floor(d + 0.5) AS BIGINT) AS distance_m, CAST(total AS INTEGER) AS total
+FROM ranked WHERE rk <= {FIRST_PAGE} AND status = 'ACTIVE'
+"""))
+def nearby_candidates_mode(spark, sf_dir):
+    """S1 'candidates': totals count the index rows of a stale index, the page leaves out businesses deleted meanwhile."""
     fx = Fixtures(spark, sf_dir)
-    idx = S.restrict_to_active(ix.full_reindex(fx.business, fx.hot_zone_config), fx.business)
-    ranked = S.rank_by_distance(S.nearby_join(fx.search_query, idx), S.CANDIDATE_CAP)
-    return ranked.groupBy("query_id").agg(
-        F.count(F.lit(1)).alias("ranked"), F.countDistinct("business_id").alias("distinct_ids"),
-        (F.max(F.floor((F.col("rank") - 1) / FIRST_PAGE)) + 1).cast("int").alias("pages"),
-    ).withColumn("stable", F.col("ranked") == F.col("distinct_ids"))
+    stale = ix.index_rows(fx.business, fx.hot_zone_config)
+    page, _ = S.nearby_search(fx.search_query, stale, fx.business, limit=FIRST_PAGE, count_mode="candidates")
+    return page.select("query_id", "rank", "id", "distance_m", "total")
+
+
+def _requests_sql() -> str:
+    from nearfield.plans.q_geo import SEARCH_REQUESTS, checked_sql
+
+    return with_fixtures(["business", "search_query"], f"""
+req AS (SELECT *, reason IS NULL AS ok FROM ({checked_sql(SEARCH_REQUESTS)})),
+pairs AS (
+  SELECT q.query_id, b.id, {hav('q.latitude', 'q.longitude', 'b.latitude', 'b.longitude')} AS d
+  FROM req q JOIN business b ON b.status = 'ACTIVE' AND q.ok
+  WHERE {hav('q.latitude', 'q.longitude', 'b.latitude', 'b.longitude')} <= q.radius),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(d, 6), id) AS rk FROM pairs),
+totals AS (SELECT query_id, count(*) AS total FROM pairs GROUP BY query_id)
+SELECT q.query_id, q.ok, q.reason, CAST(r.rk AS INTEGER) AS rank, r.id, CAST(floor(r.d + 0.5) AS BIGINT) AS distance_m,
+  CASE WHEN q.ok THEN CAST(coalesce(t.total, 0) AS INTEGER) END AS total, CASE WHEN q.ok THEN CAST(q.radius AS INTEGER) END AS adjusted_radius,
+  CASE WHEN q.ok AND q."offset" + q.page_limit < coalesce(t.total, 0) THEN {cursor('q."offset" + q.page_limit')} END AS next_cursor
+FROM req q LEFT JOIN totals t USING (query_id)
+LEFT JOIN ranked r ON r.query_id = q.query_id AND q.ok AND r.rk > q."offset" AND r.rk <= q."offset" + q.page_limit
+""")
+
+
+@register("search_requests", _requests_sql())
+def search_requests(spark, sf_dir):
+    """The whole request path: validate, search, page, with each request's own radius, limit and cursor; refused requests
+    come with their reason, empty pages with their total."""
+    from nearfield.plans.q_geo import requests
+
+    fx = Fixtures(spark, sf_dir)
+    index = ix.full_reindex(fx.business, fx.hot_zone_config)
+    return S.search_requests(requests(fx.search_query), index, fx.business)

@@ -47,7 +47,6 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8, app: s
 def apply_defaults(spark: SparkSession) -> SparkSession:
     for k, v in DEFAULTS.items():
         spark.conf.set(k, v)
-    ensure_checkpoint_dir(spark)
     return spark
 
 
@@ -62,6 +61,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not spark.sparkContext.getCheckpointDir():
             spark.sparkContext.setCheckpointDir(configured)
         return spark.sparkContext.getCheckpointDir() or configured
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     local = tempfile.mkdtemp(prefix="nearfield-ckpt-")
     spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)

@@ -58,7 +58,9 @@ select o_orderkey + 1 as mutation_id,
   case o_orderstatus when 'O' then 'UPDATE' when 'P' then 'CREATE' else 'DELETE' end as op,
   case when o_orderstatus = 'P' then 1000000 + o_orderkey else o_custkey + 1 end as business_id,
   cast(o_custkey % 25 + 1 as bigint) as owner_id, concat('Renamed ', cast(o_orderkey as string)) as name, o_orderpriority as category,
-  {_coord('o_orderkey', 'lat')} as latitude,
+  case when o_orderkey % 3 = 0 then null when o_orderkey % 23 = 0 then repeat('0', 40) else concat('02-', cast(o_orderkey % 1000 as string)) end as phone,
+  case when o_orderkey % 17 = 0 then chr(9) else concat('road-', cast(o_orderkey % 99 as string)) end as address,
+  case when o_orderkey % 19 = 0 then 95.0 else {_coord('o_orderkey', 'lat')} end as latitude,
   {_coord('o_orderkey', 'lon')} as longitude, o_orderdate as requested_at from {{orders}}
 """,
     "request_log": """
