@@ -1,10 +1,8 @@
 """Request-log analytics: latency percentiles, rates, stage verdicts, windows, alerts.
 
-Exact percentiles are computed without gathering a group's values in one task: rows are
-globally range-sorted by (group, value); each row's position inside its group comes from
-per-partition counts and a prefix sum over those counts (bounded by partitions x groups per
-partition), and only the rows at the interpolation positions are kept. A group holding a
-third of all rows is spread over many partitions like any other.
+Exact percentiles never gather or sort a group's values in one task. Rows are first counted per (group, value), which
+takes ties away before the shuffle; the counts of ``BINS`` equal bins between a group's least and largest value show in which
+bin each wanted position lies; only the values of those bins are ordered.
 """
 
 from __future__ import annotations
@@ -12,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from nearfield.session import ensure_checkpoint_dir
+BINS = 4096
 
 # Fixed thresholds of the service's SLA and load-test verdicts.
 P95_TARGET_MS = 300.0
@@ -21,7 +19,7 @@ CHECK_RATE_MIN = 0.99
 ACHIEVED_RATE_MIN = 0.95
 BACKLOG_MAX = 100_000
 LAG_MAX_S = 60 * 60
-# Relative search traffic by hour of day (0..23) used by the synthetic workload.
+# Relative search traffic by hour of day (0..23).
 HOUR_WEIGHTS = (
     0.2, 0.15, 0.10, 0.10, 0.10, 0.15,
     0.25, 0.45, 0.70, 0.90, 1.10, 1.50,
@@ -30,40 +28,46 @@ HOUR_WEIGHTS = (
 )
 
 
-def exact_percentiles(df: DataFrame, group_cols: list[str], value_col: str, probs: dict[str, float]) -> DataFrame:
-    """Linear-interpolation percentiles (as ``percentile`` / ``quantile_cont``) per group.
+def exact_percentiles(df: DataFrame, group_cols: list[str], value_col: str, probs: dict[str, float], weight_col: str | None = None) -> DataFrame:
+    """Linear-interpolation percentiles (as ``percentile`` / ``quantile_cont``) per group; a row counts ``weight_col`` times.
 
-    Returns group columns plus one column per entry of ``probs`` (name -> probability).
+    Returns group columns plus one column per entry of ``probs`` (name -> probability). Null groups are groups.
     """
-    spark = df.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ensure_checkpoint_dir(spark)
-    keys = [*group_cols, value_col]
-    vals = df.select(*keys).filter(F.col(value_col).isNotNull())
-    # Sorted runs are checkpointed so counts and positions read the same partitions.
-    ranged = vals.repartitionByRange(n, *keys).sortWithinPartitions(*keys).checkpoint(eager=True)
-    tagged = (ranged.withColumn("_rid", F.monotonically_increasing_id())
-              .withColumn("_pid", F.shiftright("_rid", 33))
-              .withColumn("_pos", F.col("_rid").bitwiseAND(F.lit((1 << 33) - 1))))
-    runs = tagged.groupBy("_pid", *group_cols).agg(F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_start"))
-    w = Window.partitionBy(*group_cols).orderBy("_pid")
-    runs = (runs.withColumn("_before", F.coalesce(F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-            .withColumn("_total", F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))))
-    ranked = tagged.join(runs, ["_pid", *group_cols])
-    ranked = ranked.withColumn("_k", F.col("_before") + F.col("_pos") - F.col("_start"))
+    weight = F.col(weight_col) if weight_col else F.lit(1)
+    counts = (df.filter(F.col(value_col).isNotNull()).groupBy(*group_cols, F.col(value_col).cast("double").alias("_v"))
+              .agg(F.sum(weight).cast("long").alias("_c")))
+    spans = counts.groupBy(*group_cols).agg(F.min("_v").alias("_low"), F.max("_v").alias("_high"), F.sum("_c").alias("_total"))
+
+    def joined(left: DataFrame, right: DataFrame) -> DataFrame:
+        """Inner join on the group columns, null-safe; those of ``left`` stay."""
+        right = right.withColumnsRenamed({c: f"_g_{c}" for c in group_cols})
+        on = F.lit(True)
+        for c in group_cols:
+            on = on & F.col(c).eqNullSafe(F.col(f"_g_{c}"))
+        return left.join(right, on).drop(*[f"_g_{c}" for c in group_cols])
+
+    bin_of = F.when(F.col("_high") > F.col("_low"), F.least(F.lit(BINS - 1), F.floor((F.col("_v") - F.col("_low")) / (F.col("_high") - F.col("_low")) * BINS))).otherwise(0)
+    binned = joined(counts, spans).withColumn("_b", bin_of.cast("int")).select(*group_cols, "_v", "_c", "_b")
+    per_group = Window.partitionBy(*group_cols).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)  # BINS rows at most
+    bins = (binned.groupBy(*group_cols, "_b").agg(F.sum("_c").alias("_n"))
+            .withColumn("_before", F.coalesce(F.sum("_n").over(per_group), F.lit(0))))
     wanted = []
     for name, p in probs.items():
         h = (F.col("_total") - 1) * F.lit(p)
         lo = F.floor(h).cast("long")
-        wanted.append(F.struct(F.lit(name).alias("name"), lo.alias("pos"), (h - lo).alias("frac"), F.lit(0).alias("side")))
-        wanted.append(F.struct(F.lit(name).alias("name"), F.least(lo + 1, F.col("_total") - 1).alias("pos"),
-                               (h - lo).alias("frac"), F.lit(1).alias("side")))
-    picks = runs.select(*group_cols, "_total").dropDuplicates(group_cols).select(
-        *group_cols, F.explode(F.array(*wanted)).alias("w")).select(*group_cols, "w.*")
-    hit = ranked.join(picks.withColumnRenamed("pos", "_k"), [*group_cols, "_k"])
+        for side, pos in ((0, lo), (1, F.least(lo + 1, F.col("_total") - 1))):
+            wanted.append(F.struct(F.lit(name).alias("name"), pos.alias("pos"), (h - lo).alias("frac"), F.lit(side).alias("side")))
+    picks = spans.select(*group_cols, F.explode(F.array(*wanted)).alias("w")).select(*group_cols, "w.*")
+    # Two positions per probability: the picks stay few per group.
+    placed = joined(picks, bins).filter((F.col("pos") >= F.col("_before")) & (F.col("pos") < F.col("_before") + F.col("_n")))
+    chosen = placed.select(*group_cols, "_b", "_before").distinct()
+    inside = joined(binned, chosen.withColumnRenamed("_b", "_cb")).filter(F.col("_b") == F.col("_cb"))
+    per_bin = Window.partitionBy(*group_cols, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
+    ranked = inside.withColumn("_from", F.col("_before") + F.coalesce(F.sum("_c").over(per_bin), F.lit(0))).select(*group_cols, "_v", "_c", "_from")
+    hit = joined(picks, ranked).filter((F.col("pos") >= F.col("_from")) & (F.col("pos") < F.col("_from") + F.col("_c")))
     per = hit.groupBy(*group_cols, "name").agg(
-        F.max(F.when(F.col("side") == 0, F.col(value_col))).alias("_lo"),
-        F.max(F.when(F.col("side") == 1, F.col(value_col))).alias("_hi"),
+        F.max(F.when(F.col("side") == 0, F.col("_v"))).alias("_lo"),
+        F.max(F.when(F.col("side") == 1, F.col("_v"))).alias("_hi"),
         F.max("frac").alias("_f"))
     per = per.withColumn("v", F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("_f"))
     return per.groupBy(*group_cols).pivot("name", list(probs)).agg(F.first("v"))
@@ -107,33 +111,52 @@ def stage_verdict(stats: DataFrame, targets: DataFrame) -> DataFrame:
     return j.withColumn("verdict", F.when(ok, F.lit("PASS")).otherwise(F.lit("FAIL")))
 
 
+def _minute(ts: str):
+    return F.date_trunc("minute", F.col(ts).cast("timestamp_ltz")).cast("timestamp_ntz")
+
+
+def _every_window(seen: DataFrame, group_cols: list[str]) -> DataFrame:
+    """All minutes from a group's first to its last window_start: as many rows as minutes pass."""
+    span = seen.groupBy(*group_cols).agg(F.min("window_start").alias("_a"), F.max("window_start").alias("_z"))
+    return span.select(*group_cols, F.explode(F.sequence("_a", "_z", F.expr("INTERVAL 1 MINUTE"))).alias("window_start"))
+
+
 def per_minute_rate(requests: DataFrame, group_cols: list[str]) -> DataFrame:
-    """I4 batch twin: requests per second over tumbling 1-minute windows."""
-    return (requests.groupBy(F.window(F.col("ts").cast("timestamp_ltz"), "1 minute").alias("w"), *group_cols)
-            .agg(F.count(F.lit(1)).alias("requests"))
-            .select(F.col("w.start").cast("timestamp_ntz").alias("window_start"), *group_cols, "requests",
-                    (F.col("requests") / 60.0).alias("rps")))
-
-
-def sliding_p95(requests: DataFrame, group_cols: list[str], size: str = "5 minutes", slide: str = "1 minute") -> DataFrame:
-    """I4 batch twin: exact p95 and 5xx rate over sliding windows (each row lands in size/slide windows)."""
-    rows = requests.select(F.window(F.col("ts").cast("timestamp_ltz"), size, slide).alias("w"), *group_cols,
-                           "latency_ms", "status_code")
-    rows = rows.withColumn("window_start", F.col("w.start").cast("timestamp_ntz")).drop("w")
+    """I4 batch twin: requests per second over tumbling 1-minute windows; zero in idle minutes between a group's first and last."""
+    seen = requests.groupBy(_minute("ts").alias("window_start"), *group_cols).agg(F.count(F.lit(1)).alias("requests"))
     keys = ["window_start", *group_cols]
-    basic = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("requests"),
-                                    F.count_if(F.col("status_code") >= 500).alias("errors_5xx"))
-    pct = exact_percentiles(rows, keys, "latency_ms", {"p95_ms": 0.95})
-    return basic.join(pct, keys, "left").withColumn(
-        "error_rate_5xx", F.col("errors_5xx").cast("double") / F.col("requests"))
+    return (_every_window(seen, group_cols).join(seen, keys, "left").fillna(0, ["requests"])
+            .select(*keys, "requests", (F.col("requests") / 60.0).alias("rps")))
+
+
+def sliding_p95(requests: DataFrame, group_cols: list[str], minutes: int = 5) -> DataFrame:
+    """I4 batch twin: exact p95 and 5xx rate over ``minutes``-minute windows sliding by one; zero in idle windows between a group's
+    first and last. Requests are counted per minute and latency once; the windows combine those counts."""
+    base = requests.groupBy(_minute("ts").alias("minute"), *group_cols, "latency_ms").agg(
+        F.count(F.lit(1)).alias("c"), F.count_if(F.col("status_code") >= 500).alias("e"))
+    rows = base.withColumn("_k", F.explode(F.sequence(F.lit(0), F.lit(minutes - 1))))
+    rows = rows.withColumn("window_start", F.expr("minute - make_dt_interval(0, 0, _k, 0)")).drop("_k", "minute")
+    keys = ["window_start", *group_cols]
+    basic = rows.groupBy(*keys).agg(F.sum("c").alias("requests"), F.sum("e").alias("errors_5xx"))
+    pct = exact_percentiles(rows, keys, "latency_ms", {"p95_ms": 0.95}, "c")
+    out = _every_window(basic, group_cols).join(basic, keys, "left").join(pct, keys, "left").fillna(0, ["requests", "errors_5xx"]).fillna(0.0, ["p95_ms"])
+    return out.withColumn("error_rate_5xx", F.coalesce(F.try_divide(F.col("errors_5xx").cast("double"), F.col("requests")), F.lit(0.0)))
+
+
+def _sustained(windows: DataFrame, breach, group_cols: list[str], minutes: int) -> DataFrame:
+    """The windows at whose end a breach has held for ``minutes`` minutes: it shows in each of the last so many windows."""
+    minute = F.floor(F.unix_seconds(F.col("window_start").cast("timestamp_ltz")) / 60)
+    w = Window.partitionBy(*group_cols).orderBy("_m").rangeBetween(-(minutes - 1), 0)  # as many rows as minutes pass
+    bad = windows.filter(breach).withColumn("_m", minute).withColumn("_held", F.count(F.lit(1)).over(w))
+    return bad.filter(F.col("_held") >= minutes).drop("_m", "_held")
 
 
-def alerts(windows: DataFrame, backlog: DataFrame) -> DataFrame:
-    """Alert rows (alert, window_start, value) for p95 > 300 ms and 5xx > 1 % per 5-minute
-    window, backlog > 100,000 and sync lag > 60 minutes."""
-    p95 = windows.filter(F.col("p95_ms") > P95_TARGET_MS).select(
+def alerts(windows: DataFrame, backlog: DataFrame, group_cols: list[str], minutes: int = 5) -> DataFrame:
+    """Alert rows (alert, window_start, value): p95 > 300 ms and 5xx > 1 % held for ``minutes`` minutes, backlog > 100,000 and
+    sync lag > 60 minutes."""
+    p95 = _sustained(windows, F.col("p95_ms") > P95_TARGET_MS, group_cols, minutes).select(
         F.lit("search_p95_high").alias("alert"), "window_start", F.col("p95_ms").alias("value"))
-    err = windows.filter(F.col("error_rate_5xx") > FAIL_RATE_MAX).select(
+    err = _sustained(windows, F.col("error_rate_5xx") > FAIL_RATE_MAX, group_cols, minutes).select(
         F.lit("error_rate_5xx_high").alias("alert"), "window_start", F.col("error_rate_5xx").alias("value"))
     bl = backlog.filter(F.col("unprocessed") > BACKLOG_MAX).select(
         F.lit("sync_backlog_high").alias("alert"), F.lit(None).cast("timestamp_ntz").alias("window_start"),
@@ -145,11 +168,10 @@ def alerts(windows: DataFrame, backlog: DataFrame) -> DataFrame:
 
 
 def traffic_profile(queries: DataFrame) -> DataFrame:
-    """Searches per hour of day with their share next to the generator's expected share."""
+    """Searches per hour of day, tier and radius, with the hour's share of all searches next to the expected share."""
     total = sum(HOUR_WEIGHTS)
     expected = F.element_at(F.array(*[F.lit(w / total) for w in HOUR_WEIGHTS]), F.col("hour") + 1)
-    per = queries.groupBy(F.hour("requested_at").alias("hour")).agg(F.count(F.lit(1)).alias("searches"))
-    all_ = queries.agg(F.count(F.lit(1)).alias("_all")).withColumn("_k", F.lit(1))
-    return (per.withColumn("_k", F.lit(1)).join(all_, "_k").drop("_k")
-            .withColumn("share", F.col("searches") / F.col("_all")).drop("_all")
-            .withColumn("expected_share", expected))
+    per = queries.groupBy(F.hour("requested_at").alias("hour"), "tier", "radius_m").agg(F.count(F.lit(1)).alias("searches"))
+    hours = Window.partitionBy("hour")  # rows are tiers x radii
+    every = per.agg(F.sum("searches")).scalar()
+    return (per.withColumn("share", F.sum("searches").over(hours) / every).withColumn("expected_share", expected))
