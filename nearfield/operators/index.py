@@ -3,8 +3,8 @@
 The index is one DataFrame with one row per indexed business:
 ``business_id, geohash, latitude, longitude, zone, gh4``. ``zone`` ('hot' / 'normal') and
 ``gh4`` (first four geohash characters) are the storage partition columns (see
-``nearfield.sources.index_store``), so the reference's split hot / normal tables become two
-partition values of one table.
+``nearfield.sources.index_store``), so hot and normal rows are partition values of one table; a read
+without a zone filter is the union of both.
 """
 
 from __future__ import annotations
@@ -75,13 +75,6 @@ def is_empty(df: DataFrame) -> bool:
     return len(df.limit(1).take(1)) == 0
 
 
-def bootstrap_index(current: DataFrame | None, business: DataFrame, config: DataFrame | None = None) -> DataFrame:
-    """Keep an existing non-empty index, otherwise build it from the business table."""
-    if current is not None and not is_empty(current):
-        return current
-    return full_reindex(business, config)
-
-
 def zone_move(index: DataFrame, upserts: DataFrame) -> DataFrame:
     """Write upserted rows into their zone and remove the ids everywhere else.
 
@@ -99,20 +92,14 @@ def delete_ids(index: DataFrame, ids: DataFrame) -> DataFrame:
 def prefix_lookup(index: DataFrame, prefix: str) -> DataFrame:
     """Distinct business ids whose geohash starts with ``prefix``.
 
-    With 4+ characters the ``gh4`` partition predicate prunes files; shorter prefixes read
-    both zones (a short prefix is never treated as hot).
+    Over a stored index the ``gh4`` partition predicate prunes folders, whatever the prefix's length, in both zones.
     """
-    cond = F.col("geohash").startswith(prefix)
-    if len(prefix) >= HOT_PREFIX_LEN:
-        cond = (F.col("gh4") == prefix[:HOT_PREFIX_LEN]) & cond
+    head = prefix[:HOT_PREFIX_LEN]
+    part = F.col("gh4") == head if len(head) == HOT_PREFIX_LEN else F.col("gh4").startswith(head)
+    cond = part & F.col("geohash").startswith(prefix)
     return index.filter(cond).select("business_id").distinct()
 
 
-def all_zones(hot: DataFrame, normal: DataFrame) -> DataFrame:
-    """The split index as one DataFrame."""
-    return hot.unionByName(normal)
-
-
 def audit_index(business: DataFrame, index: DataFrame, config: DataFrame | None = None) -> DataFrame:
     """One row per business id that is wrong in the index, with the problem found.
 

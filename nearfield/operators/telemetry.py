@@ -121,19 +121,23 @@ def _every_window(seen: DataFrame, group_cols: list[str]) -> DataFrame:
     return span.select(*group_cols, F.explode(F.sequence("_a", "_z", F.expr("INTERVAL 1 MINUTE"))).alias("window_start"))
 
 
-def per_minute_rate(requests: DataFrame, group_cols: list[str]) -> DataFrame:
-    """I4 batch twin: requests per second over tumbling 1-minute windows; zero in idle minutes between a group's first and last."""
-    seen = requests.groupBy(_minute("ts").alias("window_start"), *group_cols).agg(F.count(F.lit(1)).alias("requests"))
+def minute_counts(requests: DataFrame, group_cols: list[str]) -> DataFrame:
+    """(minute, groups, latency_ms, c, e): requests and 5xx answers per minute and latency, the base of the windows below."""
+    return requests.groupBy(_minute("ts").alias("minute"), *group_cols, "latency_ms").agg(
+        F.count(F.lit(1)).alias("c"), F.count_if(F.col("status_code") >= 500).alias("e"))
+
+
+def rates_from_counts(base: DataFrame, group_cols: list[str]) -> DataFrame:
+    """Requests per second over 1-minute windows; zero in idle minutes between a group's first and last."""
     keys = ["window_start", *group_cols]
+    seen = base.groupBy(F.col("minute").alias("window_start"), *group_cols).agg(F.sum("c").alias("requests"))
     return (_every_window(seen, group_cols).join(seen, keys, "left").fillna(0, ["requests"])
             .select(*keys, "requests", (F.col("requests") / 60.0).alias("rps")))
 
 
-def sliding_p95(requests: DataFrame, group_cols: list[str], minutes: int = 5) -> DataFrame:
-    """I4 batch twin: exact p95 and 5xx rate over ``minutes``-minute windows sliding by one; zero in idle windows between a group's
-    first and last. Requests are counted per minute and latency once; the windows combine those counts."""
-    base = requests.groupBy(_minute("ts").alias("minute"), *group_cols, "latency_ms").agg(
-        F.count(F.lit(1)).alias("c"), F.count_if(F.col("status_code") >= 500).alias("e"))
+def p95_from_counts(base: DataFrame, group_cols: list[str], minutes: int = 5) -> DataFrame:
+    """Exact p95 and 5xx rate over ``minutes``-minute windows sliding by one; zero in idle windows between a group's first and
+    last. The windows combine the counts of their minutes."""
     rows = base.withColumn("_k", F.explode(F.sequence(F.lit(0), F.lit(minutes - 1))))
     rows = rows.withColumn("window_start", F.expr("minute - make_dt_interval(0, 0, _k, 0)")).drop("_k", "minute")
     keys = ["window_start", *group_cols]
@@ -143,6 +147,16 @@ def sliding_p95(requests: DataFrame, group_cols: list[str], minutes: int = 5) ->
     return out.withColumn("error_rate_5xx", F.coalesce(F.try_divide(F.col("errors_5xx").cast("double"), F.col("requests")), F.lit(0.0)))
 
 
+def per_minute_rate(requests: DataFrame, group_cols: list[str]) -> DataFrame:
+    """I4 batch twin: requests per second over tumbling 1-minute windows."""
+    return rates_from_counts(minute_counts(requests, group_cols), group_cols)
+
+
+def sliding_p95(requests: DataFrame, group_cols: list[str], minutes: int = 5) -> DataFrame:
+    """I4 batch twin: exact p95 and 5xx rate over sliding windows."""
+    return p95_from_counts(minute_counts(requests, group_cols), group_cols, minutes)
+
+
 def _sustained(windows: DataFrame, breach, group_cols: list[str], minutes: int) -> DataFrame:
     """The windows at whose end a breach has held for ``minutes`` minutes: it shows in each of the last so many windows."""
     minute = F.floor(F.unix_seconds(F.col("window_start").cast("timestamp_ltz")) / 60)

@@ -34,7 +34,7 @@ def register(name: str, oracle: str | None = None):
 
 def _load_all() -> None:
     # Importing the modules fills the registry.
-    from nearfield.plans import q_search, q_geo, q_business, q_sync, q_telemetry  # noqa: F401
+    from nearfield.plans import q_search, q_geo, q_business, q_sync, q_telemetry, q_stream  # noqa: F401
 
 
 def queries() -> dict[str, QueryFn]:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 
 from pyspark.sql import functions as F
 
@@ -11,7 +12,9 @@ from nearfield.operators import index as ix
 from nearfield.operators import validate as V
 from nearfield.plans.catalog import register
 from nearfield.plans.sqlgen import axis_cell, clamp_lat, cursor, d, geohash_select, wrap_lon, with_fixtures
+from nearfield.session import work_dir
 from nearfield.sources.fixtures import Fixtures
+from nearfield.sources.index_store import bootstrap_index, read_index
 
 _BUSINESS_GH = geohash_select(
     geohash_select(geohash_select("(SELECT id, latitude, longitude FROM business)", "latitude", "longitude", 8, "gh8"),
@@ -241,7 +244,7 @@ JOIN ({geohash_select("(SELECT id, round(latitude, 6) AS latitude, round(longitu
 def prefix_lookup(spark, sf_dir):
     """Business ids under a hot-zone prefix, a normal prefix, a short prefix and a 5-letter prefix."""
     fx = Fixtures(spark, sf_dir)
-    index = ix.full_reindex(fx.business, fx.hot_zone_config)
+    index = bootstrap_index(spark, work_dir(spark, f"index-{uuid.uuid4().hex}"), fx.business, fx.hot_zone_config)
     out = None
     for prefix in ("wydm", "wy7b", "wy7", "wydm6"):
         part = ix.prefix_lookup(index, prefix).select(F.lit(prefix).alias("prefix"), "business_id")
@@ -249,6 +252,20 @@ def prefix_lookup(spark, sf_dir):
     return out
 
 
+@register("bootstrap_index", with_fixtures(["business", "hot_zone_config"], f"""
+SELECT g.business_id, g.geohash, CASE WHEN z.geohash_prefix IS NOT NULL THEN 'hot' ELSE 'normal' END AS zone, substr(g.geohash, 1, 4) AS gh4
+FROM ({geohash_select("(SELECT id AS business_id, round(latitude, 6) AS latitude, round(longitude, 6) AS longitude FROM business WHERE status = 'ACTIVE')", 'latitude', 'longitude', 8)}) g
+LEFT JOIN (SELECT * FROM hot_zone_config WHERE is_active) z ON substr(g.geohash, 1, 4) = z.geohash_prefix
+"""))
+def bootstrap(spark, sf_dir):
+    """A8 + I7: an absent index is built, stored by zone and gh4 and read back; a second start keeps what is stored."""
+    fx = Fixtures(spark, sf_dir)
+    path = work_dir(spark, f"index-{uuid.uuid4().hex}")
+    bootstrap_index(spark, path, fx.business, fx.hot_zone_config)
+    bootstrap_index(spark, path, fx.business.limit(0), fx.hot_zone_config)
+    return read_index(spark, path).select("business_id", "geohash", "zone", "gh4")
+
+
 @register("retention", with_fixtures(["request_log"], """
 SELECT CAST(ts AS DATE) AS day, CAST(count(*) AS BIGINT) AS kept_rows FROM request_log
 WHERE ts >= TIMESTAMP '2024-01-17 00:00:00' GROUP BY CAST(ts AS DATE)

@@ -78,7 +78,7 @@ def stage_verdict(spark, sf_dir):
     return v.select("stage", _r6(F.col("p95_ms")).alias("p95_ms"), _r6(F.col("rps")).alias("rps"), "dropped", "stage_ok", "verdict")
 
 
-def _every(src: str) -> str:
+def every_minute(src: str) -> str:
     """The minutes from each endpoint's first to its last window."""
     return (f"(SELECT endpoint, unnest(generate_series(min(window_start), max(window_start), INTERVAL 1 MINUTE)) AS window_start "
             f"FROM {src} GROUP BY endpoint)")
@@ -87,7 +87,7 @@ def _every(src: str) -> str:
 @register("qps_1m", with_fixtures(["request_log"], f"""
 seen AS (SELECT time_bucket(INTERVAL 1 MINUTE, ts) AS window_start, endpoint, count(*) AS requests FROM request_log GROUP BY ALL)
 SELECT window_start, endpoint, coalesce(requests, 0) AS requests, round(coalesce(requests, 0) / 60.0, 6) AS rps
-FROM {_every('seen')} LEFT JOIN seen USING (window_start, endpoint)
+FROM {every_minute('seen')} LEFT JOIN seen USING (window_start, endpoint)
 """))
 def qps_1m(spark, sf_dir):
     """I4 batch twin: requests per second per endpoint over 1-minute windows, zero when idle."""
@@ -95,7 +95,7 @@ def qps_1m(spark, sf_dir):
     return r.select("window_start", "endpoint", "requests", _r6(F.col("rps")).alias("rps"))
 
 
-_SLIDING_SQL = f"""
+SLIDING_SQL = f"""
 win AS (
   SELECT w.window_start, r.endpoint, r.latency_ms, r.status_code
   FROM request_log r, (SELECT unnest(generate_series(0, 4)) AS k) s,
@@ -107,11 +107,11 @@ seen AS (
 p95 AS (
   SELECT window_start, endpoint, coalesce(requests, 0) AS requests, coalesce(errors_5xx, 0) AS errors_5xx, coalesce(p95_ms, 0) AS p95_ms,
     coalesce(errors_5xx / nullif(requests, 0), 0) AS error_rate_5xx
-  FROM {_every('seen')} LEFT JOIN seen USING (window_start, endpoint))
+  FROM {every_minute('seen')} LEFT JOIN seen USING (window_start, endpoint))
 """
 
 
-@register("p95_5m", with_fixtures(["request_log"], _SLIDING_SQL + """
+@register("p95_5m", with_fixtures(["request_log"], SLIDING_SQL + """
 SELECT window_start, endpoint, requests, errors_5xx, round(p95_ms, 6) AS p95_ms, round(error_rate_5xx, 6) AS error_rate_5xx FROM p95
 """))
 def p95_5m(spark, sf_dir):
@@ -127,7 +127,7 @@ def _held(value: str, limit: str) -> str:
   FROM p95 WHERE endpoint = '/v1/search/nearby' AND {value} > {limit}) WHERE held >= 5"""
 
 
-@register("alerts", with_fixtures(["request_log", "change_log"], _SLIDING_SQL + f""",
+@register("alerts", with_fixtures(["request_log", "change_log"], SLIDING_SQL + f""",
 bl AS (SELECT count(*) AS unprocessed, coalesce(CAST(floor(epoch(TIMESTAMP '{NOW}') - epoch(min(created_at))) AS BIGINT), 0) AS age
        FROM change_log WHERE NOT processed)
 SELECT 'search_p95_high' AS alert, window_start, round(v, 6) AS value FROM ({_held('p95_ms', '300')})

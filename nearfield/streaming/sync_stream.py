@@ -1,79 +1,126 @@
 """Structured Streaming index sync (I3) with hot-zone refresh per micro-batch (I8).
 
-The change log arrives as a file stream. Each micro-batch runs the batch sync decision
-(latest event per business, current business row, delete or upsert) and writes its decisions
-to ``<work>/decisions/batch_id=<n>`` with overwrite, so a replayed batch rewrites itself
-(at-least-once delivery, idempotent output). The index is the base index merged with the
-latest decision per business across batches. An empty micro-batch writes nothing.
+The change log arrives as a stream. Each micro-batch runs the batch sync decision (latest event per business, the
+business rows as they are now, delete or upsert) and writes its decisions to ``<root>/decisions/batch_id=<n>`` with
+overwrite, so a replayed batch rewrites itself (at-least-once delivery, idempotent output). The index is the base index
+with the latest decision per business applied; ``fold`` sums the decisions up to a batch into one folder, so that reading
+does not grow with the number of batches. An empty micro-batch writes nothing.
 """
 
 from __future__ import annotations
 
+import logging
 import uuid
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from nearfield.operators import index as ix
+from nearfield.operators.sync import latest_event
 from nearfield.session import work_dir
+from nearfield.streaming.files import numbered_folders
+
+log = logging.getLogger(__name__)
 
 
 class HotZoneRefresher:
-    """I8: re-read the hot-zone config for every micro-batch; keep the last good one on failure."""
+    """I8: re-reads the hot-zone config for every micro-batch and keeps the last good one when that fails.
+
+    The config is read in full before it is trusted (it has at most one row per 4-character prefix). A failing first
+    read raises: there is no good config to go on with."""
 
     def __init__(self, load: Callable[[], DataFrame]):
         self.load = load
         self.last_good: DataFrame | None = None
 
-    def current(self) -> DataFrame | None:
+    def current(self) -> DataFrame:
         try:
-            cfg = self.load()
-            cfg.schema  # resolve now so a bad source fails here
-            self.last_good = cfg
-        except Exception:  # noqa: BLE001 - a failed refresh keeps the previous config
-            pass
-        return self.last_good
-
-
-def run_sync_stream(spark: SparkSession, events: DataFrame, business: DataFrame, base_index: DataFrame,
-                    config_loader: Callable[[], DataFrame], trigger: dict | None = None,
-                    name: str | None = None) -> DataFrame:
-    """Run the stream over ``events`` (a streaming DataFrame of change events) to completion with an
-    available-now trigger (or the given trigger) and return the resulting index."""
-    root = work_dir(spark, name or f"sync-stream-{uuid.uuid4().hex}")
-    decisions_path = f"{root}/decisions"
+            config = self.load().persist()
+            config.count()
+        except Exception:
+            if self.last_good is None:
+                raise
+            log.warning("hot-zone config could not be read, the last good one stays", exc_info=True)
+            return self.last_good
+        if self.last_good is not None:
+            self.last_good.unpersist()
+        self.last_good = config
+        return config
+
+
+@dataclass
+class SyncStream:
+    """A running sync: the streaming query and a reader of the index as far as it has come."""
+
+    spark: SparkSession
+    query: object
+    base_index: DataFrame
+    root: str
+
+    def index(self) -> DataFrame:
+        """The index after all batches written so far."""
+        latest = _latest(self.spark, self.root)
+        return self.base_index if latest is None else merge_decisions(self.base_index, latest)
+
+    def fold(self) -> None:
+        """Sums all decisions so far into ``folded/upto=<last batch>``; later reads start from there."""
+        done = numbered_folders(self.spark, f"{self.root}/decisions", "batch_id")
+        if done:
+            _latest(self.spark, self.root).write.mode("overwrite").parquet(f"{self.root}/folded/upto={done[-1]}")
+
+
+def _latest(spark: SparkSession, root: str) -> DataFrame | None:
+    """The last decision per business (by batch, then event id), or None before the first batch."""
+    folded = numbered_folders(spark, f"{root}/folded", "upto")
+    start = folded[-1] if folded else -1
+    paths = [f"{root}/folded/upto={start}"] if folded else []
+    paths += [f"{root}/decisions/batch_id={n}" for n in numbered_folders(spark, f"{root}/decisions", "batch_id") if n > start]
+    if not paths:
+        return None
+    decisions = spark.read.parquet(*paths)
+    rest = [c for c in decisions.columns if c != "business_id"]
+    return (decisions.groupBy("business_id").agg(F.max_by(F.struct(*rest), F.struct("batch", "event_id")).alias("d"))
+            .select("business_id", "d.*"))
+
+
+def merge_decisions(base_index: DataFrame, latest: DataFrame) -> DataFrame:
+    """Base index with the latest decision per business applied."""
+    keep = base_index.join(latest.select("business_id"), "business_id", "left_anti")
+    return keep.unionByName(latest.filter(F.col("upsert")).select(*ix.INDEX_COLUMNS))
+
+
+def start_sync_stream(spark: SparkSession, events: DataFrame, business_loader: Callable[[], DataFrame], base_index: DataFrame,
+                      config_loader: Callable[[], DataFrame], trigger: dict | None = None, root: str | None = None) -> SyncStream:
+    """Starts the sync over ``events``, a streaming DataFrame of change events, and returns at once.
+
+    ``business_loader`` is called for every batch, so that a batch sees the rows as they are then. ``trigger`` as for
+    writeStream (default: available now). ``root`` is a folder that driver and executors share; a restart with the same
+    root goes on where the last run ended."""
+    root = root or work_dir(spark, f"sync-stream-{uuid.uuid4().hex}")
     refresher = HotZoneRefresher(config_loader)
 
     def apply_batch(batch: DataFrame, batch_id: int) -> None:
         pending = batch.filter(~F.col("processed"))
-        latest = pending.groupBy("business_id").agg(F.max("id").alias("event_id"),
-                                                    F.max_by("change_type", "id").alias("change_type"))
-        cur = business.select(F.col("id").alias("business_id"), "status", "latitude", "longitude")
-        j = latest.join(cur, "business_id", "left")
-        upsert = (F.col("change_type") != "DELETED") & (F.col("status") == "ACTIVE")
+        if pending.isEmpty():
+            return
+        cur = business_loader().select(F.col("id").alias("business_id"), "status", "latitude", "longitude")
+        j = latest_event(pending).join(cur, "business_id", "left")
+        upsert = F.coalesce((F.col("change_type") != "DELETED") & (F.col("status") == "ACTIVE"), F.lit(False))
         rows = ix.index_rows(j.select(F.col("business_id").alias("id"), "latitude", "longitude"), refresher.current())
-        out = (j.select("business_id", "event_id", F.coalesce(upsert, F.lit(False)).alias("upsert"))
-               .join(rows, "business_id", "left")
-               .withColumn("batch_id", F.lit(batch_id)))
-        out.write.mode("overwrite").parquet(f"{decisions_path}/batch_id={batch_id}")
-
-    trig = trigger or {"availableNow": True}
-    q = (events.writeStream.foreachBatch(apply_batch)
-         .option("checkpointLocation", f"{root}/checkpoint")
-         .trigger(**trig).start())
-    q.awaitTermination()
-    return merge_decisions(spark, base_index, decisions_path)
-
-
-def merge_decisions(spark: SparkSession, base_index: DataFrame, decisions_path: str) -> DataFrame:
-    """Base index with the latest decision per business (by batch, then event id) applied."""
-    try:
-        dec = spark.read.parquet(decisions_path)
-    except Exception:  # noqa: BLE001 - no batch produced output: nothing changed
-        return base_index
-    latest = dec.groupBy("business_id").agg(F.max_by(F.struct(*[c for c in dec.columns if c != "business_id"]),
-                                                     F.struct("batch_id", "event_id")).alias("d")).select("business_id", "d.*")
-    keep = base_index.join(latest.select("business_id"), "business_id", "left_anti")
-    ups = latest.filter(F.col("upsert")).select(*ix.INDEX_COLUMNS)
-    return keep.unionByName(ups)
+        out = (j.select("business_id", "event_id", upsert.alias("upsert")).join(rows, "business_id", "left")
+               .withColumn("batch", F.lit(batch_id).cast("long")))
+        out.write.mode("overwrite").parquet(f"{root}/decisions/batch_id={batch_id}")
+
+    query = (events.writeStream.foreachBatch(apply_batch).option("checkpointLocation", f"{root}/checkpoint")
+             .trigger(**(trigger or {"availableNow": True})).start())
+    return SyncStream(spark, query, base_index, root)
+
+
+def run_sync_stream(spark: SparkSession, events: DataFrame, business_loader: Callable[[], DataFrame], base_index: DataFrame,
+                    config_loader: Callable[[], DataFrame], root: str | None = None) -> DataFrame:
+    """Runs the sync over what is available now, to its end, and returns the resulting index."""
+    stream = start_sync_stream(spark, events, business_loader, base_index, config_loader, None, root)
+    stream.query.awaitTermination()
+    return stream.index()

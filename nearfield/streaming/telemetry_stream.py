@@ -1,9 +1,9 @@
-"""Structured Streaming telemetry (I4): per-minute request rates and 5-minute p95 latency.
+"""Structured Streaming telemetry (I4): per-minute request rates and 5-minute p95 latency, in one pass.
 
-Event time is the request timestamp cast to TIMESTAMP (watermarks need a zoned timestamp),
-with a 10-minute watermark so window state is dropped once late data can no longer arrive.
-Update mode emits each window as it changes; every micro-batch writes its updates under its
-batch id (a replay rewrites the same folder), and the result keeps the latest update per window.
+The stream keeps counts per (minute, endpoint, latency); rates and exact percentiles follow from them as in the batch
+twins. Event time is the request timestamp cast to TIMESTAMP (watermarks need a zoned timestamp), with a 10-minute watermark
+so state is dropped once late data can no longer arrive. Update mode emits each count as it changes; every micro-batch writes
+its updates under its batch id (a replay rewrites the same folder), and the last update per key counts.
 """
 
 from __future__ import annotations
@@ -13,42 +13,37 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from nearfield.operators.telemetry import p95_from_counts, rates_from_counts
 from nearfield.session import work_dir
+from nearfield.streaming.files import numbered_folders
 
 WATERMARK = "10 minutes"
+_KEYS = ["minute", "endpoint", "latency_ms"]
 
 
-def _run(stream: DataFrame, path: str, keys: list[str]) -> None:
+def run_telemetry_stream(spark: SparkSession, requests: DataFrame, root: str | None = None) -> DataFrame:
+    """Runs the aggregation over a streaming request log to its end; returns (metric, window_start, endpoint, requests, value)
+    rows: requests per second of a minute (rps_1m), p95 latency of five minutes (p95_5m), zero when idle."""
+    root = root or work_dir(spark, f"telemetry-stream-{uuid.uuid4().hex}")
+    events = requests.withColumn("ts", F.col("ts").cast("timestamp_ltz")).withWatermark("ts", WATERMARK)
+    counts = (events.groupBy(F.window("ts", "1 minute").alias("w"), "endpoint", "latency_ms")
+              .agg(F.count(F.lit(1)).alias("c"), F.count_if(F.col("status_code") >= 500).alias("e"))
+              .select(F.col("w.start").cast("timestamp_ntz").alias("minute"), "endpoint", "latency_ms", "c", "e"))
+
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(f"{path}/out/batch_id={batch_id}")
-
-    q = (stream.writeStream.outputMode("update").foreachBatch(write)
-         .option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start())
-    q.awaitTermination()
-
-
-def _latest(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
-    out = spark.read.parquet(f"{path}/out")
-    vals = [c for c in out.columns if c not in keys and c != "batch_id"]
-    return out.groupBy(*keys).agg(F.max_by(F.struct(*vals), "batch_id").alias("v")).select(*keys, "v.*")
-
-
-def run_telemetry_stream(spark: SparkSession, requests: DataFrame, name: str | None = None) -> DataFrame:
-    """Run both windowed aggregations over a streaming request log; returns
-    (metric, window_start, endpoint, requests, value) rows."""
-    root = work_dir(spark, name or f"telemetry-stream-{uuid.uuid4().hex}")
-    ev = requests.withColumn("ts", F.col("ts").cast("timestamp_ltz")).withWatermark("ts", WATERMARK)
-    rate = (ev.groupBy(F.window("ts", "1 minute").alias("w"), "endpoint")
-            .agg(F.count(F.lit(1)).alias("requests"))
-            .select(F.col("w.start").alias("window_start"), "endpoint", "requests",
-                    (F.col("requests") / 60.0).alias("value")))
-    p95 = (ev.groupBy(F.window("ts", "5 minutes", "1 minute").alias("w"), "endpoint")
-           .agg(F.count(F.lit(1)).alias("requests"), F.percentile_approx("latency_ms", 0.95, 10000).alias("value"))
-           .select(F.col("w.start").alias("window_start"), "endpoint", "requests", F.col("value").cast("double")))
-    keys = ["window_start", "endpoint"]
-    _run(rate, f"{root}/rate", keys)
-    _run(p95, f"{root}/p95", keys)
-    r = _latest(spark, f"{root}/rate", keys).withColumn("metric", F.lit("rps_1m"))
-    p = _latest(spark, f"{root}/p95", keys).withColumn("metric", F.lit("p95_5m"))
-    return r.unionByName(p).select("metric", F.col("window_start").cast("timestamp_ntz").alias("window_start"),
-                                   "endpoint", "requests", "value")
+        batch.withColumn("batch", F.lit(batch_id).cast("long")).write.mode("overwrite").parquet(f"{root}/out/batch_id={batch_id}")
+
+    query = (counts.writeStream.outputMode("update").foreachBatch(write)
+             .option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start())
+    query.awaitTermination()
+    paths = [f"{root}/out/batch_id={n}" for n in numbered_folders(spark, f"{root}/out", "batch_id")]
+    if paths:
+        done = spark.read.parquet(*paths)
+    else:  # no input at all
+        done = spark.createDataFrame([], "minute timestamp_ntz, endpoint string, latency_ms double, c long, e long, batch long")
+    base = done.groupBy(*_KEYS).agg(F.max_by(F.struct("c", "e"), "batch").alias("v")).select(*_KEYS, "v.c", "v.e")
+    rate = rates_from_counts(base, ["endpoint"]).select(
+        F.lit("rps_1m").alias("metric"), "window_start", "endpoint", "requests", F.col("rps").alias("value"))
+    p95 = p95_from_counts(base, ["endpoint"]).select(
+        F.lit("p95_5m").alias("metric"), "window_start", "endpoint", "requests", F.col("p95_ms").alias("value"))
+    return rate.unionByName(p95)
