@@ -109,9 +109,8 @@ def test_near_dedup_families(spark):
     assert kept == {i for i, c in comp.items() if i == c}
 
 
-def test_near_dedup_rest_pairs_beyond_the_leaders(spark, monkeypatch):
-    """Without further leaders all pairs left are held against each other; the result is the same."""
-    monkeypatch.setattr(near_dedup, "MORE_LEADERS", 0)
+def test_near_dedup_rest_pairs_beyond_the_leaders(spark):
+    """Texts that no leader is linked with are held against each other."""
     base = passage("rest", 150).split()
     rows = []
     for n in range(40):
