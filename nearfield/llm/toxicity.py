@@ -39,6 +39,7 @@ MIN_TOXIC_TEXTS, MIN_RATIO, MIN_ODDS = 4, 20.0, 2.5
 MIN_GAIN, MIN_GAIN_SHARE = 3, 0.002
 STRONG_SHARE, STRONG_ODDS = 0.03, 4.0
 STEMS = range(4, 8)
+COUNTED_ENTRIES = 100_000  # entries a task counts before it hands them on
 # Words of the symbols that are not learned (English, German, French, Spanish).
 SEED_THREATS = "kill hurt destroy beat stab shoot burn strangle töten umbringen tuer frapper matar golpear".split()
 TARGETS = "you your yours youre u he she they them him her his their du dich dein ihr euch tu toi ton ta vous votre vos usted tus te".split()
@@ -178,18 +179,23 @@ def _entry_counts(texts: DataFrame) -> DataFrame:
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        for batch in batches:
-            counts: dict = {}
-            for text, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                words = set(re.findall(r"[^\W\d_]+", text.lower()))
-                keys = {(w, False) for w in words if len(w) > 2} | {(w[:n], True) for w in words for n in STEMS if len(w) >= n}
-                for k in keys:
-                    counts.setdefault(k, [0, 0])[y] += 1
-            yield pa.RecordBatch.from_arrays(
+        def packed(counts: dict):
+            return pa.RecordBatch.from_arrays(
                 [pa.array([k[0] for k in counts], pa.string()), pa.array([k[1] for k in counts], pa.bool_()),
                  pa.array([v[1] for v in counts.values()], pa.int64()), pa.array([v[0] for v in counts.values()], pa.int64())],
                 ["entry", "stem", "toxic", "clean"])
 
+        counts: dict = {}
+        for batch in batches:
+            for text, y in zip(batch.column(0), batch.column(1).to_pylist()):
+                words = set(re.findall(r"[^\W\d_]+", text.as_py().lower()))
+                for k in {(w, False) for w in words if len(w) > 2} | {(w[:n], True) for w in words for n in STEMS if len(w) >= n}:
+                    counts.setdefault(k, [0, 0])[y] += 1
+                if len(counts) > COUNTED_ENTRIES:
+                    yield packed(counts)
+                    counts = {}
+        yield packed(counts)
+
     parts = map_batches(texts, run, "entry string, stem boolean, toxic long, clean long")
     return parts.groupBy("entry", "stem").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
 
@@ -216,7 +222,8 @@ def _cover(texts: DataFrame, entries: list[tuple[str, bool, float]], strong: set
 
         for batch in batches:
             held = []
-            for text in batch.column(0).to_pylist():
+            for text in batch.column(0):
+                text = text.as_py()
                 seen = set(re.findall(r"[^\W\d_]+", text.lower()))
                 held.append(sorted({words[w] for w in seen if w in words} | {stems[w[:n]] for w in seen for n in STEMS if w[:n] in stems and len(w) >= n}))
             yield pa.RecordBatch.from_arrays([pa.array(held, pa.list_(pa.int32())), batch.column(1)], ["held", "y"])
@@ -271,7 +278,7 @@ def fit(docs: DataFrame, labels: DataFrame, target: str = "toxic", per_class: in
 
         scorer = model.build()
         for batch in batches:
-            rows = [scorer.features(text) for text in batch.column(0).to_pylist()]
+            rows = [scorer.features(text.as_py()) for text in batch.column(0)]
             yield pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(pa.float64())), batch.column(1)], ["x", "y"])
 
     got = map_batches(texts.select("text", "y"), run, "x array<double>, y int").collect()  # bounded like the sample
