@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from nearfield.llm.common import map_batches, text_of
 
-CACHE_WORDS = 400_000
+CACHE_WORDS = 150_000
 BATCH_CHARS = 4_000_000
 # Fixed value: the word pattern of the byte-level tokenizers.
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -160,7 +160,7 @@ class TrieEncoder:
         if len(self.pieces) + len(self.after) > CACHE_WORDS:
             self.pieces.clear()
             self.after.clear()
-        if len(self.known) > CACHE_WORDS or len(self.pairs) > 4 * CACHE_WORDS:
+        if len(self.known) > CACHE_WORDS or len(self.pairs) > 6 * CACHE_WORDS:
             self.known = {s: (i,) for s, i in self.special.items()}
             self.pairs.clear()
         self._learn(set().union(*heads), self.pieces, "")
