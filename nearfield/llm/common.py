@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import os
 import shutil
 import tempfile
@@ -15,7 +16,7 @@ from nearfield.session import ensure_checkpoint_dir
 
 # White space and words as every operator here understands them (ASCII blanks only).
 BLANKS = r"[\x20\x09-\x0D]+"
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+BATCH_ROWS = 1_000
 
 
 def documents(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFrame:
@@ -38,6 +39,13 @@ def held_out(id_col: str) -> Column:
     return F.coalesce(F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(5)) == 0, F.lit(False))
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Lets Spark delete the shuffle files behind tables that are cut by now: it does so once the driver has collected the plans
+    that own them, which may be long after the disk is full."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 _shipped: set[str] = set()
 
 
@@ -55,6 +63,8 @@ def ship(spark: SparkSession) -> None:
 
 
 def map_batches(df: DataFrame, run: Callable, schema) -> DataFrame:
-    """mapInArrow whose function may import this package."""
+    """mapInArrow whose function may import this package, in batches of ``BATCH_ROWS`` rows: texts may be long, and a batch lies
+    in the memory of the executor and of its Python worker at once."""
     ship(df.sparkSession)
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     return df.mapInArrow(run, schema)

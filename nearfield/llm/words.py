@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 _MULT = np.uint64(0x9E3779B97F4A7C15)  # odd, so powers of it can be undone modulo 2^64
 
 
