@@ -12,6 +12,11 @@ in a table of the items' blocks with so many bits flipped finds every
 item within the radius, without exception. Survivors of the full distance are verified: the weighted Jaccard
 similarity of the five-word shingles (a shingle weighs as much as its words) of window and item, at least ``THRESHOLD``.
 
+Windows that the end of the text clips, down to the shortest that can reach the threshold, have no fingerprint of their size.
+A text has fewer of them than the longest item has words, so they are searched without loss: a window at the threshold
+shares at least one of an item's rarest shingles that together weigh more than the rest may miss. Each item found so is held
+against all its windows at the text's end.
+
 The benchmark is the stated query set; it goes to the tasks in blocks of ``ITEM_BLOCK`` items, each of which passes
 over the documents once.
 
@@ -105,10 +110,10 @@ class BlockTable:
 class ItemIndex:
     """The items of one block, by window size: fingerprints, block tables, shingles with their weights."""
 
-    def __init__(self, items: list[tuple[int, str]], width: int, radius: int):
+    def __init__(self, items: list[tuple[int, str]], width: int, radius: int, threshold: float = THRESHOLD):
         import pyarrow as pa
 
-        self.width, self.radius = width, radius
+        self.width, self.radius, self.threshold = width, radius, threshold
         self.ids, self.words, self.sets, by_size = [], [], [], {}
         for low, _, hashes, sizes, first in column_words(pa.array([t for _, t in items], pa.string())):
             for i in range(len(first) - 1):
@@ -125,6 +130,28 @@ class ItemIndex:
         for size, members in sorted(by_size.items()):
             own = np.concatenate([self.sets[m]["print"] for m in members])
             self.sizes[size] = (np.array(members), own, [BlockTable(own, at, bits, f) for (at, bits), f in zip(_BLOCKS, flips)])
+        rare = self._rarest()
+        order = np.argsort(np.array([s for s, _ in rare], np.uint64), kind="stable")
+        self.rare, self.rare_item = np.array([s for s, _ in rare], np.uint64)[order], np.array([m for _, m in rare], np.int64)[order]
+        self.longest = max(self.words, default=0)
+
+    def _rarest(self) -> list[tuple[int, int]]:
+        """(shingle, item): of each item the shingles in fewest items, until the rest weighs too little for the threshold. An item
+        shorter than a shingle has none: a clipped window cannot equal it."""
+        among: dict = {}
+        for own in self.sets:
+            for s in own["bag"]:
+                among[s] = among.get(s, 0) + 1
+        out = []
+        for m, own in enumerate(self.sets):
+            if self.words[m] >= self.width:
+                rest = own["all"]
+                for s in sorted(own["bag"], key=lambda s: (among[s], s)):
+                    if rest < self.threshold * own["all"] - 1e-9:
+                        break
+                    out.append((s, m))
+                    rest -= own["bag"][s]
+        return out
 
     def weighted(self, h: np.ndarray, w: np.ndarray) -> dict:
         """Shingle -> weight, repeats adding up, of a run of words."""
@@ -140,10 +167,39 @@ class ItemIndex:
         shared = sum(min(x, own["bag"].get(s, 0)) for s, x in window["bag"].items())
         return shared / (window["all"] + own["all"] - shared)
 
-    def hits(self, hashes: np.ndarray, weights: np.ndarray, first: np.ndarray, threshold: float):
-        """(row, item, first word in the row, similarity) of every window that holds an item; ``first`` as in column_words."""
+    def clipped(self, hashes: np.ndarray, weights: np.ndarray, first: np.ndarray) -> Iterator[tuple[int, int, int, int, float]]:
+        """As ``hits``, of the windows that reach the end of their text with at most the item's words."""
+        if not len(self.rare) or len(hashes) < self.width:
+            return
+        runs = shingles(hashes, self.width)
+        total = np.cumsum(np.concatenate([[0], weights.astype(np.int64)]))
+        heavy = total[self.width:] - total[:-self.width]
+        begin = np.maximum(first[:-1], first[1:] - self.longest)
+        counts = np.maximum(first[1:] - self.width + 1 - begin, 0)
+        at = np.repeat(begin - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
+        low = np.searchsorted(self.rare, runs[at], "left")
+        found = np.searchsorted(self.rare, runs[at], "right") - low
+        rows = np.repeat(np.repeat(np.arange(len(counts)), counts), found)
+        items = self.rare_item[np.repeat(low - (np.cumsum(found) - found), found) + np.arange(found.sum())]
+        for row, member in sorted({*zip(rows.tolist(), items.tolist())}):
+            own, bag, shared, everything = self.sets[member], {}, 0, 0
+            start, end = int(first[row]), int(first[row + 1])
+            for p in range(end - self.width, max(start, end - self.words[member]) - 1, -1):  # the window grows to the left
+                s, x = int(runs[p]), int(heavy[p])
+                old, most = bag.get(s, 0), own["bag"].get(s, 0)
+                bag[s] = old + x
+                shared += min(old + x, most) - min(old, most)
+                everything += x
+                similarity = shared / (everything + own["all"] - shared)
+                if similarity >= self.threshold:
+                    yield row, member, p - start, end - start, similarity
+
+    def hits(self, hashes: np.ndarray, weights: np.ndarray, first: np.ndarray) -> Iterator[tuple[int, int, int, int, float]]:
+        """(row, item, first word in the row, word after the last, similarity) of every window that holds an item; ``first`` as in
+        column_words."""
         if not self.sizes or not len(hashes):
             return
+        yield from self.clipped(hashes, weights, first)
         for size, low, prints in fingerprints(hashes, weights, list(self.sizes)):
             members, own, tables = self.sizes[size]
             maybe = np.flatnonzero(tables[0].maybe(prints) | tables[1].maybe(prints) | tables[2].maybe(prints))
@@ -154,13 +210,12 @@ class ItemIndex:
             near = np.bitwise_count(prints[at] ^ own[item]) <= self.radius
             for start, member in sorted({*zip((at[near] + low).tolist(), members[item[near]].tolist())}):
                 row = int(np.searchsorted(first, start, "right")) - 1
-                end = start + size
-                if end > first[row + 1]:
+                if start + size > first[row + 1]:  # a window of the search above
                     continue
                 end = min(start + self.words[member], int(first[row + 1]))
                 found = self.similarity(member, hashes[start:end], weights[start:end])
-                if found >= threshold:
-                    yield row, member, start - int(first[row]), found
+                if found >= self.threshold:
+                    yield row, member, start - int(first[row]), end - int(first[row]), found
 
 
 def _blocks(benchmark: DataFrame, id_col: str, text_col: str) -> Iterator[list[tuple[int, str]]]:
@@ -186,20 +241,20 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRES
         def run(batches: Iterator, items=items) -> Iterator:
             import pyarrow as pa
 
-            index = ItemIndex(items, width, radius)
+            index = ItemIndex(items, width, radius, threshold)
             for batch in batches:
                 best: dict = {}
                 for low, _, hashes, sizes, first in column_words(batch.column(1)):
-                    for row, item, start, found in index.hits(hashes, word_weights(sizes), first, threshold):
+                    for row, item, start, end, found in index.hits(hashes, word_weights(sizes), first):
                         key = (low + row, item)
                         if key not in best or (found, -start) > (best[key][0], -best[key][1]):
-                            best[key] = (found, start)
+                            best[key] = (found, start, end)
                 if best:
                     rows = [r for r, _ in best]
                     yield pa.RecordBatch.from_arrays([
                         batch.column(0).take(pa.array(rows)), pa.array([index.ids[i] for _, i in best], pa.int64()),
-                        pa.array([f for f, _ in best.values()], pa.float64()), pa.array([s for _, s in best.values()], pa.int64()),
-                        pa.array([s + index.words[i] for (_, i), (_, s) in best.items()], pa.int64())],
+                        pa.array([f for f, _, _ in best.values()], pa.float64()), pa.array([s for _, s, _ in best.values()], pa.int64()),
+                        pa.array([e for _, _, e in best.values()], pa.int64())],
                         ["doc_id", "item_id", "similarity", "start_word", "end_word"])
 
         out = out.unionByName(map_batches(source, run, schema))
@@ -215,11 +270,11 @@ def clean(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, t
             import pyarrow as pa
             import pyarrow.compute as pc
 
-            index = ItemIndex(items, width, radius)
+            index = ItemIndex(items, width, radius, threshold)
             for batch in batches:
                 keep = np.ones(len(batch), bool)
                 for low, _, hashes, sizes, first in column_words(pc.fill_null(batch.column(at), "")):
-                    for row, *_ in index.hits(hashes, word_weights(sizes), first, threshold):
+                    for row, *_ in index.hits(hashes, word_weights(sizes), first):
                         keep[low + row] = False
                 yield batch.filter(pa.array(keep))
 

@@ -1,5 +1,6 @@
 """Operators on small tables: nulls, empty and long texts, ties, repeated rows, empty tables, clashing columns."""
 
+import collections
 import random
 
 import brute
@@ -250,6 +251,53 @@ def test_decontaminate(spark, bench, empty):
     assert decontaminate.clean(df, bench.limit(0)).count() == len(rows)
 
 
+def clipped_windows(text, item):
+    """(similarity, start, end) of the best window of the item's length that the text's end clips, or the one ending there."""
+    t, own = brute.words(text), brute.words(item)
+    size = lambda w: 1 + (len(w.encode()) > 3)
+
+    def bag(ws):
+        out = collections.Counter()
+        for k in range(len(ws) - min(5, len(ws)) + 1):
+            out[tuple(ws[k:k + min(5, len(ws))])] += sum(map(size, ws[k:k + 5]))
+        return out
+
+    a, best = bag(own), (0.0, 0, 0)
+    for start in range(max(0, len(t) - len(own)), len(t)):
+        b = bag(t[start:])
+        best = max(best, (sum((a & b).values()) / sum((a | b).values()), -start, len(t)))
+    return best[0], -best[1], best[2]
+
+
+def test_decontaminate_finds_items_the_end_of_a_text_clips(spark):
+    """Shortened items as whole texts and at the ends of texts, against every clipped window."""
+    pick = random.Random(11)
+    items = {n: passage(f"cut{n}", n) for n in (5, 8, 12, 16, 18, 20, 24, 30, 33, 37, 46, 57, 130)}
+    items |= {1000: "of it " * 9 + passage("heavy", 9), 1001: passage("heavy", 9) + " of it" * 9}
+    texts = []
+    for item in items.values():
+        w = item.split()
+        for cut in sorted({1, 2, len(w) // 8, len(w) // 6, len(w) // 5, len(w) // 4, len(w) // 3}):
+            for part in (w[:-cut], w[cut:], w[cut // 2:len(w) - (cut - cut // 2)]) if cut else ():
+                edited = list(part)
+                if edited and cut % 2:
+                    edited[pick.randrange(len(edited))] = "edited"
+                texts += [" ".join(part), passage(f"before{cut}", 60) + " " + " ".join(part), passage("x", 9) + " " + " ".join(edited)]
+    rows = list(enumerate(texts))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    table = spark.createDataFrame(list(items.items()), "item_id long, text string")
+    got = {(r.doc_id, r.item_id): (r.similarity, r.start_word, r.end_word) for r in decontaminate.contaminated(df, table).collect()}
+    want = {(n, i): x for n, t in rows for i, item in items.items() if (x := clipped_windows(t, item))[0] >= decontaminate.THRESHOLD}
+    assert len(want) > 150 and want.keys() <= got.keys()
+    assert all(got[k][0] > x[0] - 1e-9 and got[k][2] <= len(brute.words(texts[k[0]])) for k, x in want.items())
+    assert (rows[0][0], 5) not in want  # an item of one shingle cannot lose a word
+    for n, share in ((37, 0.97), (16, 0.92)):
+        short = " ".join(items[n].split()[:-1])
+        assert any(t == short and round(got[k, n][0], 2) >= share - 0.01 for k, t in rows if (k, n) in got)
+    left = {r.doc_id for r in decontaminate.clean(df, table).collect()}
+    assert not left & {k for k, _ in want}
+
+
 def test_hamming_search_finds_every_fingerprint_within_the_radius():
     import numpy as np
 
