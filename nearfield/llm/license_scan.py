@@ -1,16 +1,18 @@
 """License scan as an exact set-similarity join, DataFrame operations only.
 
-Blocks are the lines of a text, as sets of words; templates are the word sets of known license notices. A block meets a
-template when it holds at least ``threshold`` of the template's words (containment). The join is exact:
+Templates are the word sets of known license notices. A text meets a template when some run of about the template's length
+(``span`` words), wherever it starts and whatever lines it stands on, holds at least ``threshold`` of the template's words
+(containment). Blocks, as sets of words, are overlapping runs of the text such that each run of a template's span lies in one. The join
+of blocks and templates is exact:
 
 * words are ordered by how many texts hold them, rarest first, counted over all texts (only template words matter);
 * prefix filter: of a template's T words a block needs a = ceil(threshold T), so it holds one of the T - a + 1 rarest;
 * length filter: a block with fewer than a template words cannot meet it;
 * positional filter: when the first shared word stands at place i of the template and place j of the block's ordered
   template words, at most 1 + min(T - i, B - j) words are shared;
-* survivors are compared on their full sets.
+* survivors are compared on their full sets, then on each run of the template's span within the block.
 
-Only texts that hold some prefix word are cut into lines. The base search beside it finds the fixed phrases as
+``license_blocks`` is the same join with the lines of the texts as blocks. Only texts that hold some prefix word are cut into blocks. The base search beside it finds the fixed phrases as
 consecutive words anywhere in the text; its labels always stay, the join adds labels.
 
 Defined results: null or empty text has no words and no labels, score 0; repeated rows each give a row; rows of one id with
@@ -56,6 +58,21 @@ def _template_words(text: str) -> list[str]:
     return sorted(set(re.findall(r"[0-9a-z]+", text.lower())))
 
 
+def span(text: str) -> int:
+    """Words of a run that is held against a template: as many as the template has, and some inserted ones."""
+    n = len(text.replace("-", " ").replace("/", " ").replace(".", " ").split())
+    return n + max(4, n // 4)
+
+
+def _runs(text: Column, step: int) -> Column:
+    """The words of a text in runs of 2 ``step`` words, one from each ``step``-th word on: any ``step`` consecutive words lie
+    in one of them. The words are a lambda variable, so that they are made once a text."""
+    def cut(w):
+        last = F.greatest(F.lit(0), F.ceil(F.size(w) / F.lit(step)).cast("int") - 2)
+        return F.transform(F.sequence(F.lit(0), last), lambda k: F.slice(w, k * step + 1, 2 * step))
+    return F.transform(F.array(words(text)), cut)[0]
+
+
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """doc_id, text and a key of (id, text). A clash of keys joins candidates of both texts, which cannot add a match:
     blocks are compared on their own words."""
@@ -74,9 +91,9 @@ def word_order(docs: DataFrame, vocabulary: list[str], text_col: str = "text") -
     return ordered.select(F.posexplode("o").alias("place", "x")).select(F.col("x.word").alias("word"), "place")
 
 
-def license_blocks(docs: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD, id_col: str = "doc_id",
-                   text_col: str = "text") -> DataFrame:
-    """Every (row_key, doc_id, block, template, label, containment) that meets the threshold; block is the line number."""
+def _met(docs: DataFrame, cut, templates, threshold: float, id_col: str, text_col: str) -> DataFrame:
+    """(row_key, doc_id, block, run, template, label, size, need, template_words, shared) of every block and template that meet the
+    threshold; ``cut`` makes an array of blocks, each an array of words, of a text."""
     spark = docs.sparkSession
     sets = [(n, label, _template_words(t)) for n, (label, t) in enumerate(templates)]
     vocabulary = sorted({w for _, _, ws in sets for w in ws})
@@ -91,18 +108,37 @@ def license_blocks(docs: DataFrame, templates=TEMPLATES, threshold: float = THRE
     # Both are one value, bounded by the templates: scalar subqueries.
     ordered = order.agg(F.array_sort(F.collect_list(F.struct("place", "word"))).alias("o")).select(F.transform("o", lambda x: x["word"])).scalar()
     rare = prefixes.agg(F.collect_set("word")).scalar()
-    lines = (_keyed(docs, id_col, text_col).filter(F.arrays_overlap(words(F.col("text")), rare))
-             .select("row_key", "doc_id", F.posexplode(F.split("text", "\n")).alias("block", "line")))
+    runs = (_keyed(docs, id_col, text_col).filter(F.arrays_overlap(words(F.col("text")), rare))
+            .select("row_key", "doc_id", F.posexplode(cut(F.col("text"))).alias("block", "run")).filter(F.arrays_overlap("run", rare)))
     # array_intersect keeps the order of its first argument: the block's template words, rarest first.
-    blocks = lines.select("row_key", "doc_id", "block", F.array_intersect(ordered, words(F.col("line"))).alias("held"))
-    starts = blocks.filter(F.size("held") > 0).select("row_key", "doc_id", "block", "held", F.posexplode("held").alias("j", "word"))
+    blocks = runs.select("row_key", "doc_id", "block", "run", F.array_intersect(ordered, F.col("run")).alias("held"))
+    starts = blocks.select("row_key", "doc_id", "block", "run", "held", F.posexplode("held").alias("j", "word"))
     met = starts.join(F.broadcast(prefixes), "word").filter(F.size("held") >= F.col("need"))
     met = met.filter(F.lit(1) + F.least(F.col("size") - 1 - F.col("i"), F.size("held") - 1 - F.col("j")) >= F.col("need"))
     shared = met.withColumn("shared", F.array_intersect("held", "template_words"))
-    exact = shared.filter((F.size("shared") >= F.col("need")) & (F.col("shared")[0] == F.col("word")))  # each pair once, at its first shared word
+    return shared.filter((F.size("shared") >= F.col("need")) & (F.col("shared")[0] == F.col("word")))  # each pair once, at its first shared word
+
+
+def license_blocks(docs: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD, id_col: str = "doc_id",
+                   text_col: str = "text") -> DataFrame:
+    """Every (row_key, doc_id, block, template, label, containment) that meets the threshold; block is the line number."""
+    exact = _met(docs, lambda text: F.transform(F.split(text, "\n"), words), templates, threshold, id_col, text_col)
     return exact.select("row_key", "doc_id", "block", "template", "label", (F.size("shared") / F.col("size")).alias("containment"))
 
 
+def license_runs(docs: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD, id_col: str = "doc_id",
+                 text_col: str = "text") -> DataFrame:
+    """(row_key, doc_id, template, label, containment) of every block that holds a run of a template's span that meets the
+    threshold, with the best such run; a text may repeat a template."""
+    spans = [span(t) for _, t in templates]
+    near = _met(docs, lambda text: _runs(text, max(spans, default=1)), templates, threshold, id_col, text_col)
+    near = near.withColumn("span", F.array(*map(F.lit, spans))[F.col("template")])
+    held = F.transform(F.sequence(F.lit(0), F.greatest(F.lit(0), F.size("run") - F.col("span"))),
+                       lambda k: F.size(F.array_intersect("template_words", F.slice("run", k + 1, F.col("span")))))
+    best = near.withColumn("best", F.array_max(held)).filter(F.col("best") >= F.col("need"))
+    return best.select("row_key", "doc_id", "template", "label", (F.col("best") / F.col("size")).alias("containment"))
+
+
 def _counted(label: str, step: int):
     """Merge function: adds the blanks of the next piece up to the place of the phrase after it."""
     def walk(acc, blanks):
@@ -134,9 +170,9 @@ def base_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
 def license_scan(docs: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD, id_col: str = "doc_id",
                  text_col: str = "text") -> DataFrame:
     """One row per text: doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score (1 with a phrase, else
-    the best containment of its blocks, else 0)."""
+    the best containment of its runs, else 0)."""
     base = base_scan(docs, id_col, text_col)
-    found = license_blocks(docs, templates, threshold, id_col, text_col).groupBy("row_key").agg(
+    found = license_runs(docs, templates, threshold, id_col, text_col).groupBy("row_key").agg(
         F.collect_set("label").alias("more"), F.max("containment").alias("best"))
     out = base.join(found, "row_key", "left")
     at = F.transform("places", lambda p: p["at"].cast("long"))

@@ -2,6 +2,7 @@
 
 import collections
 import random
+import re
 
 import brute
 import public_tokenizers
@@ -145,6 +146,37 @@ def test_license_blocks_are_all_blocks_at_the_threshold(spark, docs):
     assert got == want and len(want) > 30
 
 
+def test_license_scan_reads_over_line_breaks(spark):
+    """Wrapped notices are found, words scattered over a long line are not; against every run of a template's span."""
+    pick = random.Random(5)
+    full = [t for _, t in license_scan.TEMPLATES]
+    mit, gpl = full[1].split(), full[7].split()
+    at = gpl.index("modify") + 1
+    wrapped = [" ".join(mit[:13]) + "\n" + " ".join(mit[13:]), " * " + " ".join(gpl[:at]) + "\n * " + " ".join(gpl[at:]), "# " + "\n# ".join(mit)]
+    scattered = [" ".join(f"{w} {passage(n, 30)}" for w in t.split()) for n, t in enumerate(full)]
+    texts = wrapped + scattered
+    for n in range(120):
+        w = pick.choice(full).replace(",", " ").split()
+        w = pick.sample(w, len(w) - pick.randrange(len(w) // 3 + 1))
+        for _ in range(pick.randrange(9)):
+            w.insert(pick.randrange(len(w) + 1), passage(n, 1))
+        texts.append(passage(n, pick.randrange(90)) + " " + pick.choice(" \n").join(w) + "\r\n" + passage(-n, pick.randrange(90)))
+    got = {(r.doc_id, r.template): r.containment for r in license_scan.license_runs(
+        spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).orderBy("containment").collect()}
+    want = {}
+    for n, t in enumerate(texts):
+        w = re.findall(r"[0-9a-z]+", t.lower())
+        for m, x in enumerate(full):
+            own, size = set(re.findall(r"[0-9a-z]+", x.lower())), license_scan.span(x)
+            best = max(len(own & set(w[k:k + size])) for k in range(max(1, len(w) - size + 1))) / len(own)
+            if best >= license_scan.THRESHOLD - 1e-9:
+                want[n, m] = best
+    assert got == want and {(0, 1), (1, 7), (2, 1)} <= set(want) and len(want) > 60
+    rows = license_scan.license_scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert {r.doc_id: r.labels for r in rows if r.doc_id < 3} == {0: "mit", 1: "gpl-3", 2: "mit"}
+    assert all(r.labels == "" and r.score == 0 for r in rows if 3 <= r.doc_id < len(wrapped + scattered))
+
+
 def test_secret_scan(docs, empty):
     got = secret_scan.secret_report(secret_scan.secret_scan(docs))
     want = []
