@@ -10,7 +10,8 @@ of blocks and templates is exact:
 * length filter: a block with fewer than a template words cannot meet it;
 * positional filter: when the first shared word stands at place i of the template and place j of the block's ordered
   template words, at most 1 + min(T - i, B - j) words are shared;
-* survivors are compared on their full sets, then on each run of the template's span within the block.
+* survivors are compared on their full sets, then on each run of the template's span within the block;
+* such a run must also say what tells the template from look-alike notices (``TELLING``), whose other words are the same.
 
 ``license_blocks`` is the same join with the lines of the texts as blocks. Only texts that hold some prefix word are cut into blocks. The base search beside it finds the fixed phrases as
 consecutive words anywhere in the text; its labels always stay, the join adds labels.
@@ -44,6 +45,18 @@ TEMPLATES = (
     ("gpl-3", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License"),
     ("bsd", "Redistribution and use in source and binary forms, with or without modification, are permitted"),
 )
+# What a run must say, besides the containment, to be the template's and not a look-alike's notice; patterns over the run's
+# words with a blank before and after each. The "except in compliance" sentence stands alike in other licenses; nothing in it tells them apart.
+TELLING = {
+    TEMPLATES[0][1]: ("( the mit | mit (x11 |expat )?license )",),
+    TEMPLATES[1][1]: (" associated ", " files "),
+    TEMPLATES[2][1]: (" apache (software )?license ", " version 2 "),
+    TEMPLATES[4][1]: (" cc by nc ",),
+    TEMPLATES[5][1]: (" creative commons attribution non ?commercial ",),
+    TEMPLATES[6][1]: (" gnu general public license ", " version 3 "),
+    TEMPLATES[7][1]: (" gnu general public license ",),
+    TEMPLATES[8][1]: (" redistribution ", " binary "),
+}
 _GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
@@ -64,6 +77,11 @@ def span(text: str) -> int:
     return n + max(4, n // 4)
 
 
+def _telling(text: str) -> str:
+    """One pattern for all that a run must say of a template."""
+    return "^" + "".join(f"(?=.*{p})" for p in TELLING.get(text, ()))
+
+
 def _runs(text: Column, step: int) -> Column:
     """The words of a text in runs of 2 ``step`` words, one from each ``step``-th word on: any ``step`` consecutive words lie
     in one of them. The words are a lambda variable, so that they are made once a text."""
@@ -129,13 +147,19 @@ def license_blocks(docs: DataFrame, templates=TEMPLATES, threshold: float = THRE
 def license_runs(docs: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD, id_col: str = "doc_id",
                  text_col: str = "text") -> DataFrame:
     """(row_key, doc_id, template, label, containment) of every block that holds a run of a template's span that meets the
-    threshold, with the best such run; a text may repeat a template."""
+    threshold and says what tells the template from look-alikes, with the best such run; a text may repeat a template."""
     spans = [span(t) for _, t in templates]
     near = _met(docs, lambda text: _runs(text, max(spans, default=1)), templates, threshold, id_col, text_col)
-    near = near.withColumn("span", F.array(*map(F.lit, spans))[F.col("template")])
-    held = F.transform(F.sequence(F.lit(0), F.greatest(F.lit(0), F.size("run") - F.col("span"))),
-                       lambda k: F.size(F.array_intersect("template_words", F.slice("run", k + 1, F.col("span")))))
-    best = near.withColumn("best", F.array_max(held)).filter(F.col("best") >= F.col("need"))
+    near = near.withColumns({"span": F.array(*map(F.lit, spans))[F.col("template")],
+                             "telling": F.array(*[F.lit(_telling(t)) for _, t in templates])[F.col("template")]})
+
+    def held(k):
+        part = F.slice("run", k + 1, F.col("span"))
+        said = F.regexp_like(F.concat(F.lit(" "), F.array_join(part, " "), F.lit(" ")), F.col("telling"))
+        return F.when(said, F.size(F.array_intersect("template_words", part))).otherwise(0)
+
+    places = F.sequence(F.lit(0), F.greatest(F.lit(0), F.size("run") - F.col("span")))
+    best = near.withColumn("best", F.array_max(F.transform(places, held))).filter(F.col("best") >= F.col("need"))
     return best.select("row_key", "doc_id", "template", "label", (F.col("best") / F.col("size")).alias("containment"))
 
 
