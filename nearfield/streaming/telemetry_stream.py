@@ -1,9 +1,8 @@
 """Structured Streaming telemetry (I4): per-minute request rates and 5-minute p95 latency, in one pass.
 
-The stream keeps counts per (minute, endpoint, latency); rates and exact percentiles follow from them as in the batch
-twins. Event time is the request timestamp cast to TIMESTAMP (watermarks need a zoned timestamp), with a 10-minute watermark
-so state is dropped once late data can no longer arrive. Update mode emits each count as it changes; every micro-batch writes
-its updates under its batch id (a replay rewrites the same folder), and the last update per key counts.
+Every micro-batch writes its counts per (minute, endpoint, latency) under its batch id (a replay rewrites the same folder).
+Counts add up, so the stream keeps no state and needs no watermark: no request is too late, in whatever order the files
+come. Rates and exact percentiles follow from the sums as in the batch twins.
 """
 
 from __future__ import annotations
@@ -13,11 +12,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nearfield.operators.telemetry import p95_from_counts, rates_from_counts
+from nearfield.operators.telemetry import minute_counts, p95_from_counts, rates_from_counts
 from nearfield.session import work_dir
 from nearfield.streaming.files import numbered_folders
 
-WATERMARK = "10 minutes"
 _KEYS = ["minute", "endpoint", "latency_ms"]
 
 
@@ -25,23 +23,18 @@ def run_telemetry_stream(spark: SparkSession, requests: DataFrame, root: str | N
     """Runs the aggregation over a streaming request log to its end; returns (metric, window_start, endpoint, requests, value)
     rows: requests per second of a minute (rps_1m), p95 latency of five minutes (p95_5m), zero when idle."""
     root = root or work_dir(spark, f"telemetry-stream-{uuid.uuid4().hex}")
-    events = requests.withColumn("ts", F.col("ts").cast("timestamp_ltz")).withWatermark("ts", WATERMARK)
-    counts = (events.groupBy(F.window("ts", "1 minute").alias("w"), "endpoint", "latency_ms")
-              .agg(F.count(F.lit(1)).alias("c"), F.count_if(F.col("status_code") >= 500).alias("e"))
-              .select(F.col("w.start").cast("timestamp_ntz").alias("minute"), "endpoint", "latency_ms", "c", "e"))
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("batch", F.lit(batch_id).cast("long")).write.mode("overwrite").parquet(f"{root}/out/batch_id={batch_id}")
+        minute_counts(batch, ["endpoint"]).write.mode("overwrite").parquet(f"{root}/out/batch_id={batch_id}")
 
-    query = (counts.writeStream.outputMode("update").foreachBatch(write)
-             .option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start())
+    query = requests.writeStream.foreachBatch(write).option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start()
     query.awaitTermination()
     paths = [f"{root}/out/batch_id={n}" for n in numbered_folders(spark, f"{root}/out", "batch_id")]
     if paths:
         done = spark.read.parquet(*paths)
     else:  # no input at all
-        done = spark.createDataFrame([], "minute timestamp_ntz, endpoint string, latency_ms double, c long, e long, batch long")
-    base = done.groupBy(*_KEYS).agg(F.max_by(F.struct("c", "e"), "batch").alias("v")).select(*_KEYS, "v.c", "v.e")
+        done = spark.createDataFrame([], "minute timestamp_ntz, endpoint string, latency_ms double, c long, e long")
+    base = done.groupBy(*_KEYS).agg(F.sum("c").alias("c"), F.sum("e").alias("e"))
     rate = rates_from_counts(base, ["endpoint"]).select(
         F.lit("rps_1m").alias("metric"), "window_start", "endpoint", "requests", F.col("rps").alias("value"))
     p95 = p95_from_counts(base, ["endpoint"]).select(

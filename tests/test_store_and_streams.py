@@ -13,6 +13,7 @@ from nearfield.session import work_dir
 from nearfield.sources.fixtures import Fixtures
 from nearfield.sources.index_store import bootstrap_index, read_index, write_index
 from nearfield.streaming.sync_stream import HotZoneRefresher, start_sync_stream
+from nearfield.streaming.telemetry_stream import run_telemetry_stream
 
 from conftest import SF_SMALL
 from test_flow import BIZ, LOG
@@ -108,3 +109,24 @@ def test_failing_config_refresh_keeps_the_last_good_one(spark, tmp_path):
 
 def test_work_dir_lies_in_the_checkpoint_folder(spark):
     assert work_dir(spark, "x").startswith(spark.sparkContext.getCheckpointDir())
+
+
+def test_telemetry_stream_counts_files_in_reverse_time_order(spark, tmp_path):
+    req = Fixtures(spark, SF_SMALL).request_log
+    at = F.unix_micros(F.col("ts").cast("timestamp_ltz"))
+    one, two = req.agg(F.percentile_approx(at, [0.33, 0.66])).first()[0]
+    folder, known = f"{tmp_path}/log", set()
+    # Three files: the engine filters a batch by the watermark of the batch before, which knows the times of those still earlier.
+    for n, part in enumerate((at > two, (at > one) & (at <= two), at <= one)):
+        req.filter(part).coalesce(1).write.mode("append").parquet(folder)
+        new = {f for f in os.listdir(folder) if f.endswith(".parquet")} - known
+        for f in new:
+            os.utime(f"{folder}/{f}", (1_700_000_000 + 100 * n,) * 2)
+        known |= new
+    stream = spark.readStream.schema(req.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    got = run_telemetry_stream(spark, stream, f"{tmp_path}/s").cache()
+    assert len([d for d in os.listdir(f"{tmp_path}/s/out") if d.startswith("batch_id=")]) >= 3
+    for metric, twin, value in (("rps_1m", T.per_minute_rate(req, ["endpoint"]), "rps"), ("p95_5m", T.sliding_p95(req, ["endpoint"]), "p95_ms")):
+        want = sorted((r.window_start, r.endpoint, r.requests, round(r[value], 6)) for r in twin.collect())
+        assert sorted((r.window_start, r.endpoint, r.requests, round(r.value, 6)) for r in got.filter(F.col("metric") == metric).collect()) == want
+    assert got.filter("metric = 'rps_1m'").agg(F.sum("requests")).first()[0] == req.count()
