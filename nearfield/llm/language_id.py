@@ -12,7 +12,7 @@ left out of the descent and calibrates the probabilities (temperature) and the r
 most ``MAX_ERROR`` of these rows are wrong. A text below it is not ``accepted``; its likeliest language is still named.
 
 Defined results: null text, text without a letter and everything where no language could be learned: 'und', score 0, not accepted;
-texts are read whole; rows with a null id, and those ``learn`` does not mark, are not learned from; repeated rows each give a
+texts are read whole; rows with a null id, and those ``learn`` does not mark, are not learned from, nor is a text without a letter; repeated rows each give a
 row and count once in training; an empty table gives an empty result; other columns play no role.
 """
 
@@ -94,9 +94,14 @@ def softmax(z: np.ndarray) -> np.ndarray:
     return e / e.sum()
 
 
+def _readable(text_col: str) -> Column:
+    """The text has a letter."""
+    return F.coalesce(F.col(text_col).cast("string").rlike(r"\p{L}"), F.lit(False))
+
+
 def _sample(docs: DataFrame, learn: Column, per_lang: int, rows: int, id_col: str, text_col: str, lang_col: str) -> DataFrame:
     """(lang, text): the bounded sample, one row per language and id."""
-    known = docs.filter(F.col(id_col).isNotNull() & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & learn)
+    known = docs.filter(F.col(id_col).isNotNull() & F.col(lang_col).isNotNull() & _readable(text_col) & learn)
     ids = known.select(F.col(lang_col).alias("lang"), F.col(id_col).cast("long").alias("doc_id")).distinct()
     order = [F.xxhash64("doc_id"), "doc_id"]
     picked = (ids.withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).filter(F.col("place") <= per_lang)
@@ -186,8 +191,6 @@ def _calibrated(z: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 
 def language_id(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, lang_pred, score (calibrated probability of lang_pred) and accepted of each text."""
-    readable = F.coalesce(F.col(text_col).cast("string").rlike(r"\p{L}"), F.lit(False))
-
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
@@ -202,5 +205,5 @@ def language_id(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", t
                                               pa.array([n != UNKNOWN and s >= model.threshold for n, s in zip(names, scores)], pa.bool_())],
                                              ["doc_id", "lang_pred", "score", "accepted"])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), readable.alias("readable"), F.lower(text_of(text_col)).alias("text"))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), _readable(text_col).alias("readable"), F.lower(text_of(text_col)).alias("text"))
     return map_batches(rows, run, "doc_id long, lang_pred string, score double, accepted boolean")

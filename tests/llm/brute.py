@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import math
 import re
 
 BLANK = re.compile(r"[\x20\x09-\x0D]")
@@ -116,3 +117,53 @@ def greedy_pieces(word, initial, rest):
             return 1
         at, n = end, n + 1
     return n
+
+
+def integer_vectors(rows):
+    """(id, label, whole-number vector) of the rows whose vector is finite throughout."""
+    out = []
+    for i, v, label in rows:
+        if v is not None and all(x is not None and math.isfinite(x) for x in v):
+            out.append((i, label, [max(-2**24, min(2**24, math.floor(x * 256))) for x in v]))
+    return out
+
+
+def vector_codes(rows, parts=16, entries=64, rounds=2):
+    """[(id, code, error, label)] and the codebooks' text, sorted."""
+    rows = integer_vectors(rows)
+    if not rows:
+        return [], ""
+    dim = -(-max(len(v) for *_, v in rows) // parts) * parts
+    rows = [(i, label, v, v + [0] * (dim - len(v))) for i, label, v in rows]
+    rows.sort(key=lambda r: (r[0] is None, r[0] or 0, r[2]))
+    w = dim // parts
+    cell = lambda v, p: v[p * w:(p + 1) * w]
+    books = [[cell(v, p) for *_, v in rows[:entries]] for p in range(parts)]
+    nearest = lambda c, book: min((sum((a - b) ** 2 for a, b in zip(c, e)), k) for k, e in enumerate(book))
+    for _ in range(rounds):
+        for p, book in enumerate(books):
+            groups = collections.defaultdict(list)
+            for *_, v in rows:
+                groups[nearest(cell(v, p), book)[1]].append(cell(v, p))
+            for k, cells in groups.items():
+                book[k] = [sum(x) // len(cells) for x in zip(*cells)]
+    out = []
+    for i, label, _, v in rows:
+        found = [nearest(cell(v, p), books[p]) for p in range(parts)]
+        out.append((i, "".join(f"{k:02x}" for _, k in found), sum(d for d, _ in found), label))
+    return out, ",".join(str(x) for b in books for e in b for x in e)
+
+
+def hard_negatives(rows, is_anchor, positives=5, negatives=10):
+    """Sorted rows (anchor, positive, rank, negative, positive score, negative score)."""
+    rows = [r for r in integer_vectors(rows) if r[0] is not None and r[1] is not None]
+    dot = lambda v, w: sum(a * b for a, b in zip(v, w))
+    out = []
+    for a, label, v in rows:
+        if not is_anchor(a):
+            continue
+        scored = sorted((-dot(v, w), i, lab) for i, lab, w in rows if i != a)
+        for s, p, _ in [x for x in scored if x[2] == label][:positives]:
+            fit = [x for x in scored if x[2] != label and 30 * -s <= 100 * -x[0] <= 90 * -s][:negatives]
+            out += [(a, p, k + 1, n, -s, -t) for k, (t, n, _) in enumerate(fit)]
+    return sorted(out)
