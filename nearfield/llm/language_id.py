@@ -36,6 +36,7 @@ SAMPLE_ROWS = 4000
 EPOCHS = 6
 RATE = 2.0
 MAX_ERROR = 0.01
+SALTS = 32
 PIECE = 1 << 20  # subwords worked on at a time
 UNKNOWN = "und"
 
@@ -104,8 +105,11 @@ def _sample(docs: DataFrame, learn: Column, per_lang: int, rows: int, id_col: st
     known = docs.filter(F.col(id_col).isNotNull() & F.col(lang_col).isNotNull() & _readable(text_col) & learn)
     ids = known.select(F.col(lang_col).alias("lang"), F.col(id_col).cast("long").alias("doc_id")).distinct()
     order = [F.xxhash64("doc_id"), "doc_id"]
-    picked = (ids.withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).filter(F.col("place") <= per_lang)
-              .orderBy("place", *order, "lang").limit(rows).drop("place"))  # at most ``rows`` ids, so they may be broadcast
+    first = lambda df, *keys: (df.withColumn("place", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+                               .filter(F.col("place") <= per_lang))
+    # A language may hold most rows, so its first ids are found under salts before they meet.
+    few = first(ids.withColumn("_salt", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(SALTS))), "lang", "_salt").drop("_salt", "place")
+    picked = first(few, "lang").orderBy("place", *order, "lang").limit(rows).drop("place")  # at most ``rows`` ids, so they may be broadcast
     texts = known.select(F.col(lang_col).alias("lang"), F.col(id_col).cast("long").alias("doc_id"), F.lower(F.col(text_col)).alias("text"))
     return texts.join(F.broadcast(picked), ["lang", "doc_id"]).groupBy("lang", "doc_id").agg(F.max("text").alias("text"))
 
