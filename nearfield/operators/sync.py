@@ -50,11 +50,25 @@ def sync_index(index: DataFrame, log: DataFrame, business: DataFrame, max_events
     batch = poll_batch(log, max_events).select("id", "business_id", "change_type")
     deletes, upserts = apply_changes(latest_event(batch), business, config)
     new_index = ix.zone_move(ix.delete_ids(index, deletes), upserts)
+    return new_index, mark_processed(log, batch), batch
+
+
+def sync_store(store, log: DataFrame, business: DataFrame, max_events: int | None = None, config: DataFrame | None = None) -> tuple[list[str], DataFrame]:
+    """I2 over a stored index (``nearfield.sources.index_store``): the batch is merged into the geohash prefixes that it touches.
+
+    Returns the prefixes renewed and the log with the batch marked processed. A batch that is merged but not marked, as after
+    a crash, may be merged again: the index stays the same."""
+    batch = poll_batch(log, max_events).select("id", "business_id", "change_type")
+    deletes, upserts = apply_changes(latest_event(batch), business, config)
+    return store.merge(deletes, upserts), mark_processed(log, batch)
+
+
+def mark_processed(log: DataFrame, batch: DataFrame) -> DataFrame:
+    """The log with the events of a batch marked processed."""
     done = batch.select("id", F.lit(True).alias("_done"))
-    new_log = (log.join(done, "id", "left")
-               .withColumn("processed", F.col("processed") | F.coalesce(F.col("_done"), F.lit(False)))
-               .drop("_done"))
-    return new_index, new_log, batch
+    return (log.join(done, "id", "left")
+            .withColumn("processed", F.col("processed") | F.coalesce(F.col("_done"), F.lit(False)))
+            .drop("_done"))
 
 
 def sync_backlog(log: DataFrame, now) -> DataFrame:

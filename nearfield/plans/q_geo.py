@@ -14,7 +14,7 @@ from nearfield.plans.catalog import register
 from nearfield.plans.sqlgen import axis_cell, clamp_lat, cursor, d, geohash_select, wrap_lon, with_fixtures
 from nearfield.session import work_dir
 from nearfield.sources.fixtures import Fixtures
-from nearfield.sources.index_store import bootstrap_index, read_index
+from nearfield.sources.index_store import IndexStore, bootstrap_index
 
 _BUSINESS_GH = geohash_select(
     geohash_select(geohash_select("(SELECT id, latitude, longitude FROM business)", "latitude", "longitude", 8, "gh8"),
@@ -243,8 +243,9 @@ JOIN ({geohash_select("(SELECT id, round(latitude, 6) AS latitude, round(longitu
 """))
 def prefix_lookup(spark, sf_dir):
     """Business ids under a hot-zone prefix, a normal prefix, a short prefix and a 5-letter prefix."""
-    fx = Fixtures(spark, sf_dir)
-    index = bootstrap_index(spark, work_dir(spark, f"index-{uuid.uuid4().hex}"), fx.business, fx.hot_zone_config)
+    from nearfield.plans.q_search import stored
+
+    index = stored(spark, sf_dir).points
     out = None
     for prefix in ("wydm", "wy7b", "wy7", "wydm6"):
         part = ix.prefix_lookup(index, prefix).select(F.lit(prefix).alias("prefix"), "business_id")
@@ -263,7 +264,7 @@ def bootstrap(spark, sf_dir):
     path = work_dir(spark, f"index-{uuid.uuid4().hex}")
     bootstrap_index(spark, path, fx.business, fx.hot_zone_config)
     bootstrap_index(spark, path, fx.business.limit(0), fx.hot_zone_config)
-    return read_index(spark, path).select("business_id", "geohash", "zone", "gh4")
+    return IndexStore(spark, path).rows().select("business_id", "geohash", "zone", "gh4")
 
 
 @register("retention", with_fixtures(["request_log"], """

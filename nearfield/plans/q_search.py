@@ -2,19 +2,32 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import functions as F
 
 from nearfield.operators import index as ix
 from nearfield.operators import search as S
+from nearfield.operators.quadtree import staged
 from nearfield.plans.catalog import register
 from nearfield.functions import geo
 from nearfield.functions.geo import cell_size_deg
 from nearfield.plans.sqlgen import clamp_lat, cursor, d, geohash_select, hav, wrap_lon, with_fixtures
+from nearfield.session import work_dir
 from nearfield.sources.fixtures import Fixtures
+from nearfield.sources.index_store import bootstrap_index
 
 FIRST_PAGE = 20
 TOP_K = 10
 
+
+def stored(spark, sf_dir):
+    """The stored index of the businesses, as a search reads it: bootstrapped (I7) by the first query of the application that needs it."""
+    fx = Fixtures(spark, sf_dir)
+    name = hashlib.sha256(f"{spark.sparkContext.applicationId} {sf_dir}".encode()).hexdigest()[:16]
+    return bootstrap_index(spark, work_dir(spark, f"index-{name}"), fx.business, fx.hot_zone_config).tree()
+
+
 # Brute-force pairs over whole tables: every query against every active business.
 _PAIRS = f"""
 pairs AS (
@@ -30,7 +43,7 @@ totals AS (SELECT query_id, count(*) AS total FROM pairs GROUP BY query_id)
 
 def _search(spark, sf_dir, **kw):
     fx = Fixtures(spark, sf_dir)
-    index = ix.full_reindex(fx.business, fx.hot_zone_config)
+    index = stored(spark, sf_dir)
     return S.nearby_search(fx.search_query, index, fx.business, config=fx.hot_zone_config, **kw)
 
 
@@ -77,7 +90,7 @@ FROM ranked WHERE rk <= {TOP_K}
 def nearest_k(spark, sf_dir):
     """the 10 nearest active businesses within radius per query."""
     fx = Fixtures(spark, sf_dir)
-    index = ix.full_reindex(fx.business, fx.hot_zone_config)
+    index = stored(spark, sf_dir)
     return S.nearest_k(fx.search_query, index, TOP_K)
 
 
@@ -117,7 +130,7 @@ SELECT query_id, CAST(count(*) AS BIGINT) AS total FROM nine GROUP BY query_id
 def nine_cell_candidates(spark, sf_dir):
     """How many businesses the lossy nine-cell policy finds per query, from cell counts."""
     fx = Fixtures(spark, sf_dir)
-    return S.nine_cell_totals(fx.search_query, ix.full_reindex(fx.business, fx.hot_zone_config))
+    return S.nine_cell_totals(fx.search_query, stored(spark, sf_dir))
 
 
 @register("nine_cell_page", _nine_cell_oracle(f"""
@@ -128,7 +141,7 @@ FROM (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY round(d,
 def nine_cell_page(spark, sf_dir):
     """The first page of the nine-cell policy search."""
     fx = Fixtures(spark, sf_dir)
-    return S.nine_cell_page(fx.search_query, ix.full_reindex(fx.business, fx.hot_zone_config), FIRST_PAGE)
+    return S.nine_cell_page(fx.search_query, stored(spark, sf_dir), FIRST_PAGE)
 
 
 @register("nine_cell_recall", _nine_cell_oracle(f"""
@@ -141,7 +154,7 @@ GROUP BY q.tier, q.radius_m
 def nine_cell_recall(spark, sf_dir):
     """S5 check: exact matches versus those the nine-cell policy finds, per tier and radius, both from cell counts."""
     fx = Fixtures(spark, sf_dir)
-    idx = ix.full_reindex(fx.business, fx.hot_zone_config)
+    idx = stored(spark, sf_dir)
     q = fx.search_query
     exact = S.search_totals(q, idx).withColumnRenamed("total", "exact_pairs")
     nine = S.nine_cell_totals(q, idx).withColumnRenamed("total", "nine_cell_pairs")
@@ -197,8 +210,8 @@ FROM qz q LEFT JOIN pairs p USING (query_id) WHERE q.hz_limit IS NOT NULL GROUP
 def radius_cap_effect(spark, sf_dir):
     """Candidates per hot zone before and after capping the radius at the zone's limit."""
     fx = Fixtures(spark, sf_dir)
-    idx = ix.full_reindex(fx.business, fx.hot_zone_config)
-    q = geo.with_geohash(fx.search_query, "latitude", "longitude", 4, "gh4")
+    idx = stored(spark, sf_dir)
+    q = staged(fx.search_query, gh4=geo.geohash_encode("latitude", "longitude", 4))
     q = ix.attach_hot_zone(q, fx.hot_zone_config, "gh4").filter(F.col("is_hot")).withColumn("capped", F.least("radius_m", "hz_radius_limit"))
     before = S.search_totals(q, idx).withColumnRenamed("total", "before")
     after = S.search_totals(q, idx, "capped").withColumnRenamed("total", "after")
@@ -220,7 +233,7 @@ FROM search_query q LEFT JOIN totals t USING (query_id) GROUP BY q.tier, q.radiu
 def candidate_profile(spark, sf_dir):
     """Candidates and first-page results per search, summarised by tier and radius."""
     fx = Fixtures(spark, sf_dir)
-    header = S.search_totals(fx.search_query, ix.full_reindex(fx.business, fx.hot_zone_config))
+    header = S.search_totals(fx.search_query, stored(spark, sf_dir))
     j = fx.search_query.select("query_id", "tier", "radius_m").join(header, "query_id", "left").fillna(0, ["total"])
     shown = F.least(F.col("total"), F.lit(FIRST_PAGE))
     return j.groupBy("tier", "radius_m").agg(
@@ -288,5 +301,5 @@ def search_requests(spark, sf_dir):
     from nearfield.plans.q_geo import requests
 
     fx = Fixtures(spark, sf_dir)
-    index = ix.full_reindex(fx.business, fx.hot_zone_config)
+    index = stored(spark, sf_dir)
     return S.search_requests(requests(fx.search_query), index, fx.business)

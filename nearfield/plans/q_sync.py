@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from nearfield.operators import index as ix
 from nearfield.operators import sync as Y
 from nearfield.plans.catalog import register
 from nearfield.plans.sqlgen import geohash_select, with_fixtures
-from nearfield.sources.fixtures import Fixtures
+from nearfield.session import work_dir
+from nearfield.sources.fixtures import Fixtures, coord
+from nearfield.sources.index_store import bootstrap_index
 
 POLL_N = 2000
 NOW = "2024-06-01 00:00:00"
@@ -46,20 +50,43 @@ def full_reindex(spark, sf_dir):
     return ix.full_reindex(fx.business, fx.hot_zone_config)
 
 
-@register("sync_index", with_fixtures(["business", "hot_zone_config", "change_log"], f"""
-idx0 AS ({_idx_sql("business WHERE status = 'ACTIVE'")}),
+def _synced_sql(idx0: str) -> str:
+    """The index ``idx0`` after the whole backlog is applied."""
+    return f"""idx0 AS ({idx0}),
 lat AS (SELECT business_id, arg_max(change_type, id) AS change_type FROM change_log WHERE NOT processed GROUP BY business_id),
 dec AS (SELECT l.business_id, l.change_type <> 'DELETED' AND b.status = 'ACTIVE' AS upsert FROM lat l LEFT JOIN business b ON b.id = l.business_id),
 ups AS ({_idx_sql("business WHERE id IN (SELECT business_id FROM dec WHERE upsert)")})
 SELECT * FROM idx0 WHERE business_id NOT IN (SELECT business_id FROM dec)
 UNION ALL SELECT * FROM ups
-"""))
-def sync_index(spark, sf_dir):
-    """Drain the whole unprocessed change log into the index built from the business table."""
+"""
+
+
+def _synced(spark, sf_dir, business):
+    """A stored index of ``business`` after the backlog is merged into it."""
     fx = Fixtures(spark, sf_dir)
-    index0 = ix.full_reindex(fx.business, fx.hot_zone_config)
-    new_index, _, _ = Y.sync_index(index0, fx.change_log, fx.business, None, fx.hot_zone_config)
-    return new_index
+    store = bootstrap_index(spark, work_dir(spark, f"index-{uuid.uuid4().hex}"), business, fx.hot_zone_config)
+    Y.sync_store(store, fx.change_log, fx.business, None, fx.hot_zone_config)
+    return store.rows()
+
+
+@register("sync_index", with_fixtures(["business", "hot_zone_config", "change_log"], _synced_sql(_idx_sql("business WHERE status = 'ACTIVE'"))))
+def sync_index(spark, sf_dir):
+    """Drain the whole unprocessed change log into the stored index built from the business table."""
+    return _synced(spark, sf_dir, Fixtures(spark, sf_dir).business)
+
+
+# Where each business was before: at the place of the customer six numbers on, so that most moved, many into another zone.
+_OLD = {axis: coord("(id + 6)", axis) for axis in ("lat", "lon")}
+
+
+@register("zone_moves", with_fixtures(["business", "hot_zone_config", "change_log"], f"""
+old_business AS (SELECT * REPLACE ({_OLD['lat']} AS latitude, {_OLD['lon']} AS longitude) FROM business),
+{_synced_sql(_idx_sql("old_business WHERE status = 'ACTIVE'"))}"""))
+def zone_moves(spark, sf_dir):
+    """A stored index of where the businesses were, with the backlog drained into it: rows move within and between zones,
+    one row stays per business, and businesses without an event stay where they were."""
+    business = Fixtures(spark, sf_dir).business
+    return _synced(spark, sf_dir, business.withColumns({"latitude": F.expr(_OLD["lat"]), "longitude": F.expr(_OLD["lon"])}))
 
 
 @register("sync_log", with_fixtures(["change_log"], f"""
@@ -85,9 +112,12 @@ def sync_backlog(spark, sf_dir):
 
 _AUDIT_INDEX = """
 idx AS (
-  SELECT * FROM all_idx WHERE business_id % 37 <> 0
+  SELECT * REPLACE (CASE WHEN business_id % 43 = 0 THEN CASE zone WHEN 'hot' THEN 'normal' ELSE 'hot' END ELSE zone END AS zone)
+  FROM all_idx WHERE business_id % 37 <> 0
+  UNION ALL
+  SELECT business_id, substr(geohash, 1, 7) || 'z' AS geohash, latitude, longitude, zone, gh4 FROM all_idx WHERE business_id % 41 = 0
   UNION ALL
-  SELECT business_id, substr(geohash, 1, 7) || 'z' AS geohash, latitude, longitude, zone, gh4 FROM all_idx WHERE business_id % 41 = 0)
+  SELECT business_id + 10000000, geohash, latitude, longitude, zone, gh4 FROM all_idx WHERE business_id % 47 = 0)
 """
 
 
@@ -109,13 +139,16 @@ SELECT business_id, problem, CAST(coalesce(index_rows, 0) AS BIGINT) AS index_ro
   FROM j LEFT JOIN exp e USING (business_id)) WHERE problem IS NOT NULL
 """))
 def audit_index(spark, sf_dir):
-    """Audit an index loaded generator-style (deleted rows included) with rows missing for ids
-    divisible by 37 and stale extra rows for ids divisible by 41."""
+    """Audit an index loaded generator-style (deleted rows included) with rows missing for ids divisible by 37, stale extra
+    rows for ids divisible by 41, the other zone for ids divisible by 43 and rows of unknown ids beside those divisible by 47."""
     fx = Fixtures(spark, sf_dir)
     all_idx = ix.index_rows(fx.business, fx.hot_zone_config)
     stale = all_idx.filter(F.col("business_id") % 41 == 0).withColumn(
         "geohash", F.concat(F.substring("geohash", 1, 7), F.lit("z")))
-    idx = all_idx.filter(F.col("business_id") % 37 != 0).unionByName(stale)
+    other = F.when(F.col("zone") == "hot", F.lit("normal")).otherwise(F.lit("hot"))
+    moved = all_idx.filter(F.col("business_id") % 37 != 0).withColumn("zone", F.when(F.col("business_id") % 43 == 0, other).otherwise(F.col("zone")))
+    unknown = all_idx.filter(F.col("business_id") % 47 == 0).withColumn("business_id", F.col("business_id") + 10_000_000)
+    idx = moved.unionByName(stale).unionByName(unknown)
     return ix.audit_index(fx.business, idx, fx.hot_zone_config)
 
 

@@ -8,13 +8,13 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Session settings every job relies on. Timestamps are UTC (the reference stores UTC instants);
 # AQE re-plans joins from real shuffle sizes and splits skewed partitions; the window-group
-# limit threshold is raised so `row_number() <= k` keeps its map-side top-k for k up to the
-# 5000-candidate cap plus one page.
+# limit threshold is raised so `row_number() <= k` keeps its map-side top-k for large k.
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -54,22 +54,47 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster the operator sets it to shared storage; only when it is unset (local runs,
-    tests) a private folder is made here.
+    tests) a private folder is made here, for the life of the session.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if configured:
-        if not spark.sparkContext.getCheckpointDir():
-            spark.sparkContext.setCheckpointDir(configured)
-        return spark.sparkContext.getCheckpointDir() or configured
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-    local = tempfile.mkdtemp(prefix="nearfield-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", local)
-    spark.sparkContext.setCheckpointDir(local)
-    return spark.sparkContext.getCheckpointDir() or local
+    context = spark.sparkContext
+    if not context.getCheckpointDir():
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            if not context.master.startswith("local"):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+            configured = tempfile.mkdtemp(prefix="nearfield-ckpt-")
+        context.setCheckpointDir(configured)
+    return context.getCheckpointDir()
 
 
 def work_dir(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for materialised intermediate tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}"
+
+
+def path_of(spark: SparkSession, path: str):
+    """(file system, path) of the Hadoop file system that holds ``path``."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
+
+
+class Scratch:
+    """Intermediate tables as Parquet in the shared folder: they cut lineage, survive lost executors and tell the planner their
+    size. A step that has been read for the last time is dropped."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.root, self.steps = spark, work_dir(spark, f"{name}-{uuid.uuid4().hex}"), 0
+
+    def written(self, df: DataFrame, *partitions: str) -> DataFrame:
+        """The table, written and read back; ``df.scratch_path`` names its folder."""
+        self.steps += 1
+        path = f"{self.root}/{self.steps}"
+        (df.write.partitionBy(*partitions) if partitions else df.write).parquet(path)
+        out = self.spark.read.schema(df.schema).parquet(path)
+        out.scratch_path = path
+        return out
+
+    def drop(self, df: DataFrame) -> None:
+        fs, where = path_of(self.spark, df.scratch_path)
+        fs.delete(where, True)

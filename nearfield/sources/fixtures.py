@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from nearfield.sources.tables import read_table
 
 
-def _coord(key: str, axis: str) -> str:
+def coord(key: str, axis: str) -> str:
     # Fixed cluster layout of the fixtures: 70 % hotspot, 25 % city, 5 % rural, coordinates in
     # millionths of a degree so both engines see bit-equal doubles.
     if axis == "lat":
@@ -33,8 +33,8 @@ FIXTURE_SQL = {
 select c_custkey + 1 as id, cast(c_nationkey + 1 as bigint) as owner_id, c_name as name, c_mktsegment as category,
   case when c_custkey % 10 = 0 then null else concat('010-0000-', lpad(cast(c_custkey % 10000 as string), 4, '0')) end as phone,
   concat('block-', cast(c_custkey % 999 + 1 as string)) as address,
-  {_coord('c_custkey', 'lat')} as latitude,
-  {_coord('c_custkey', 'lon')} as longitude,
+  {coord('c_custkey', 'lat')} as latitude,
+  {coord('c_custkey', 'lon')} as longitude,
   case when c_acctbal < 0 then 'DELETED' else 'ACTIVE' end as status,
   cast(date '2023-01-01' + cast(c_custkey % 365 as int) as timestamp) as created_at,
   cast(date '2023-01-01' + cast(c_custkey % 365 + c_custkey % 7 as int) as timestamp) as updated_at
@@ -43,8 +43,8 @@ from {{customer}}
     "search_query": f"""
 select event_id as query_id, user_id, ts as requested_at,
   case when event_id % 20 < 14 then 'hotspot' when event_id % 20 < 19 then 'city' else 'rural' end as tier,
-  {_coord('event_id', 'lat')} as latitude,
-  {_coord('event_id', 'lon')} as longitude,
+  {coord('event_id', 'lat')} as latitude,
+  {coord('event_id', 'lon')} as longitude,
   case when event_id % 101 % 20 < 10 then 500 when event_id % 101 % 20 < 16 then 2000 when event_id % 101 % 20 < 19 then 5000 else 10000 end as radius_m
 from {{events}}
 """,
@@ -60,8 +60,8 @@ select o_orderkey + 1 as mutation_id,
   cast(o_custkey % 25 + 1 as bigint) as owner_id, concat('Renamed ', cast(o_orderkey as string)) as name, o_orderpriority as category,
   case when o_orderkey % 3 = 0 then null when o_orderkey % 23 = 0 then repeat('0', 40) else concat('02-', cast(o_orderkey % 1000 as string)) end as phone,
   case when o_orderkey % 17 = 0 then chr(9) else concat('road-', cast(o_orderkey % 99 as string)) end as address,
-  case when o_orderkey % 19 = 0 then 95.0 else {_coord('o_orderkey', 'lat')} end as latitude,
-  {_coord('o_orderkey', 'lon')} as longitude, o_orderdate as requested_at from {{orders}}
+  case when o_orderkey % 19 = 0 then 95.0 else {coord('o_orderkey', 'lat')} end as latitude,
+  {coord('o_orderkey', 'lon')} as longitude, o_orderdate as requested_at from {{orders}}
 """,
     "request_log": """
 select event_id as request_id, ts, case when event_type in ('signup') then '/v1/business/{{id}}' else '/v1/search/nearby' end as endpoint,

@@ -8,10 +8,12 @@ from pyspark.sql import functions as F
 
 from nearfield.operators import index as ix
 from nearfield.operators import load as L
+from nearfield.operators import quadtree as Q
+from nearfield.operators import search as S
 from nearfield.operators import telemetry as T
 from nearfield.session import work_dir
 from nearfield.sources.fixtures import Fixtures
-from nearfield.sources.index_store import bootstrap_index, read_index, write_index
+from nearfield.sources.index_store import IndexStore, bootstrap_index, read_index, write_index
 from nearfield.streaming.sync_stream import HotZoneRefresher, start_sync_stream
 from nearfield.streaming.telemetry_stream import run_telemetry_stream
 
@@ -19,16 +21,100 @@ from conftest import SF_SMALL
 from test_flow import BIZ, LOG
 
 
+def _rows(index):
+    return sorted(tuple(r) for r in index.select(*ix.INDEX_COLUMNS).collect())
+
+
 def test_prefix_lookup_prunes_the_stored_index(spark, tmp_path):
     fx = Fixtures(spark, SF_SMALL)
     path = f"{tmp_path}/index"
-    first = bootstrap_index(spark, path, fx.business, fx.hot_zone_config)
-    assert sorted(first.collect()) == sorted(ix.full_reindex(fx.business, fx.hot_zone_config).collect())
-    assert sorted(bootstrap_index(spark, path, fx.business.limit(0)).collect()) == sorted(first.collect())
+    first = bootstrap_index(spark, path, fx.business, fx.hot_zone_config).rows()
+    assert _rows(first) == _rows(ix.full_reindex(fx.business, fx.hot_zone_config))
+    assert _rows(bootstrap_index(spark, path, fx.business.limit(0)).rows()) == _rows(first)
     plan = ix.prefix_lookup(read_index(spark, path), "wydm6")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(gh4" in plan and "PushedFilters: [IsNotNull(geohash), StringStartsWith(geohash,wydm6)]" in plan
     write_index(first.limit(0), f"{tmp_path}/empty")
-    assert bootstrap_index(spark, f"{tmp_path}/empty", fx.business).count() == first.count()
+    assert bootstrap_index(spark, f"{tmp_path}/empty", fx.business).rows().count() == first.count()
+
+
+def test_every_point_has_one_leaf(spark):
+    fx = Fixtures(spark, SF_SMALL)
+    index = ix.full_reindex(fx.business).unionByName(ix.index_rows(fx.business.limit(1), None).crossJoin(spark.range(200)).drop("id"))
+    tree = Q.tree_of(index)
+    cells = {(r.level, r.x, r.y): (r.n, r.leaf) for r in tree.cells.collect()}
+    points = tree.points.groupBy(*Q.CELL).count().collect()
+    assert sum(r["count"] for r in points) == index.count() == tree.points.count()
+    assert {(r.level, r.x, r.y): r["count"] for r in points} == {k: n for k, (n, leaf) in cells.items() if leaf}
+    for (level, x, y), (n, leaf) in cells.items():
+        assert leaf == (n <= Q.LEAF_POINTS or level == Q.DEEPEST)
+        assert level == Q.ROOT or not cells[level - 2, x >> 2, y >> 2][1]
+
+
+def test_a_writer_that_dies_leaves_the_old_snapshot(spark, tmp_path, monkeypatch):
+    fx = Fixtures(spark, SF_SMALL)
+    store = bootstrap_index(spark, f"{tmp_path}/index", fx.business, fx.hot_zone_config)
+    before, moved = _rows(store.rows()), ix.index_rows(fx.business.limit(20).withColumn("latitude", F.lit(37.6)), fx.hot_zone_config)
+
+    def dies(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as m:  # all rows are written, the manifest is not
+        m.setattr(IndexStore, "_publish", dies)
+        for work in (lambda: store.merge(moved.limit(0), moved), lambda: store.rebuild(moved)):
+            with pytest.raises(RuntimeError):
+                work()
+    assert _rows(IndexStore(spark, store.path).rows()) == before
+    store.merge(moved.limit(0), moved)  # goes on beside what the dead writer left
+    ids = {r.business_id for r in moved.collect()}
+    assert _rows(store.rows()) == sorted([r for r in before if r[0] not in ids] + _rows(moved))
+
+
+def _files(folder):
+    return {os.path.join(d, f): os.stat(os.path.join(d, f)).st_mtime_ns for d, _, names in os.walk(folder) for f in names if f.endswith(".parquet")}
+
+
+def test_a_merge_touches_only_its_prefixes(spark, tmp_path):
+    fx = Fixtures(spark, SF_SMALL)
+    store = bootstrap_index(spark, f"{tmp_path}/index", fx.business, fx.hot_zone_config)
+    index, files, live = _rows(store.rows()), _files(store.path), store.snapshot()
+    one = next(r for r in index if r[5] == "wydm")
+    gone = next(r for r in index if r[5] == "wydm" and r[0] != one[0])
+    # One business moves from Gangnam to Busan, one is deleted: two prefixes of many.
+    new = ix.index_rows(spark.createDataFrame([(one[0], 35.15768, 129.05938)], "id long, latitude double, longitude double"), fx.hot_zone_config)
+    touched = store.merge(spark.createDataFrame([(gone[0],)], "business_id long"), new)
+    assert touched == ["wy7b", "wydm"] and len({r[5] for r in index}) > 3
+    after = _files(store.path)
+    assert files.items() <= after.items()  # nothing is overwritten
+    assert {f.split("gh4=")[1][:4] for f in after.keys() - files.keys()} == set(touched)
+    now = store.snapshot()
+    assert {k: v for k, v in now.points.items() if k[1] not in touched} == {k: v for k, v in live.points.items() if k[1] not in touched}
+    want = sorted([r for r in index if r[0] not in (one[0], gone[0])] + _rows(new))
+    assert _rows(store.rows()) == want
+    # Counts and leaves are those of an index built anew.
+    fresh = Q.tree_of(store.rows())
+    assert sorted(map(tuple, store.tree().cells.select(*Q.CELL, "n", "leaf").collect())) == sorted(map(tuple, fresh.cells.select(*Q.CELL, "n", "leaf").collect()))
+    assert store.vacuum() > 0 and _rows(store.rows()) == want
+    assert store.merge(new.select("business_id").limit(0), new.limit(0)) == [] and store.snapshot().version == now.version
+
+
+def test_a_prefix_whose_last_row_goes_is_gone(spark, tmp_path):
+    t = dt.datetime(2024, 1, 1)
+    rows = [(i, 1, "n", "c", None, "a", lat, 127.0, "ACTIVE", t, t) for i, lat in ((1, 37.5), (2, 10.0))]
+    store = bootstrap_index(spark, f"{tmp_path}/index", spark.createDataFrame(rows, BIZ))
+    store.merge(spark.createDataFrame([(2,), (99,)], "business_id long"), store.rows().limit(0))
+    assert [r.business_id for r in store.rows().collect()] == [1] and len(store.snapshot().points) == 1
+
+
+def test_search_over_a_stale_stored_index(spark, tmp_path):
+    """Businesses deleted after the index was written count in 'candidates' and not in 'active' mode."""
+    fx = Fixtures(spark, SF_SMALL)
+    store = IndexStore(spark, f"{tmp_path}/index")
+    store.rebuild(ix.index_rows(fx.business, fx.hot_zone_config))
+    q = fx.search_query.filter(F.col("query_id") % 25 == 0)
+    for mode in ("active", "candidates"):
+        plain = [d.collect() for d in S.nearby_search(q, ix.index_rows(fx.business, None), fx.business, limit=20, offset=20, count_mode=mode)]
+        kept = [d.collect() for d in S.nearby_search(q, store.tree(), fx.business, limit=20, offset=20, count_mode=mode)]
+        assert [sorted(map(str, x)) for x in plain] == [sorted(map(str, x)) for x in kept] and plain[0]
 
 
 def test_percentiles_of_one_value_in_most_rows(spark):
