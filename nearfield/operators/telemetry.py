@@ -7,7 +7,7 @@ bin each wanted position lies; only the values of those bins are ordered.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BINS = 4096
@@ -101,6 +101,11 @@ def request_rates(requests: DataFrame, group_cols: list[str]) -> DataFrame:
         F.coalesce(F.try_divide(F.col("checks_passed").cast("double"), F.col("requests")), F.lit(0.0)).alias("check_rate"))
 
 
+def stage_ended_well() -> Column:
+    """An aggregate over all requests of a stage: the share of 5xx answers stays under the failure limit."""
+    return F.count_if(F.col("status_code") >= 500) / F.count(F.lit(1)) < FAIL_RATE_MAX
+
+
 def stage_verdict(stats: DataFrame, targets: DataFrame) -> DataFrame:
     """E5: PASS iff p95 <= target, fail rate < 1 %, checks >= 99 %, achieved >= 95 % of the target
     rate, no dropped iterations and the stage itself succeeded."""

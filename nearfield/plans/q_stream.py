@@ -18,7 +18,7 @@ def _stream_of(spark, sf_dir, table: str):
     """A given table as a stream of its files, one a batch."""
     path = f"{sf_dir.rstrip('/')}/{table}.parquet"
     source = spark.readStream.schema(read_table(spark, sf_dir, table).schema).option("maxFilesPerTrigger", 1)
-    return source.parquet(f"{path}*")
+    return source.parquet(f"{path[:-1]}[{path[-1]}]")  # a pattern that only the path matches: a stream takes no single file by its name
 
 
 @register("sync_index_stream", REGISTRY["sync_index"].oracle)

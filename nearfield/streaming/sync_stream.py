@@ -3,7 +3,8 @@
 The change log arrives as a stream. Each micro-batch runs the batch sync decision (latest event per business, the
 business rows as they are now, delete or upsert) and writes its decisions to ``<root>/decisions/batch_id=<n>`` with
 overwrite, so a replayed batch rewrites itself (at-least-once delivery, idempotent output). The index is the base index
-with the latest decision per business applied; ``fold`` sums the decisions up to a batch into one folder, so that reading
+with one decision per business applied: the change of the highest event id, as in the batch sync, with the row of the newest batch, so
+events may come in any order and more than once. (A watermark that drops repeated events would drop late ones too.) ``fold`` sums the decisions up to a batch into one folder, so that reading
 does not grow with the number of batches. An empty micro-batch writes nothing.
 """
 
@@ -72,7 +73,8 @@ class SyncStream:
 
 
 def _latest(spark: SparkSession, root: str) -> DataFrame | None:
-    """The last decision per business (by batch, then event id), or None before the first batch."""
+    """Per business the change of its last event by event id, whatever the order of the batches, and its row as the newest batch
+    saw it; None before the first batch."""
     folded = numbered_folders(spark, f"{root}/folded", "upto")
     start = folded[-1] if folded else -1
     paths = [f"{root}/folded/upto={start}"] if folded else []
@@ -80,15 +82,15 @@ def _latest(spark: SparkSession, root: str) -> DataFrame | None:
     if not paths:
         return None
     decisions = spark.read.parquet(*paths)
-    rest = [c for c in decisions.columns if c != "business_id"]
-    return (decisions.groupBy("business_id").agg(F.max_by(F.struct(*rest), F.struct("batch", "event_id")).alias("d"))
-            .select("business_id", "d.*"))
+    seen = [c for c in decisions.columns if c not in ("business_id", "event_id", "change_type")]
+    return (decisions.groupBy("business_id").agg(F.max("event_id").alias("event_id"), F.max_by("change_type", "event_id").alias("change_type"),
+                                                 F.max_by(F.struct(*seen), "batch").alias("d")).select("business_id", "event_id", "change_type", "d.*"))
 
 
 def merge_decisions(base_index: DataFrame, latest: DataFrame) -> DataFrame:
     """Base index with the latest decision per business applied."""
     keep = base_index.join(latest.select("business_id"), "business_id", "left_anti")
-    return keep.unionByName(latest.filter(F.col("upsert")).select(*ix.INDEX_COLUMNS))
+    return keep.unionByName(latest.filter((F.col("change_type") != "DELETED") & F.col("active")).select(*ix.INDEX_COLUMNS))
 
 
 def start_sync_stream(spark: SparkSession, events: DataFrame, business_loader: Callable[[], DataFrame], base_index: DataFrame,
@@ -107,9 +109,9 @@ def start_sync_stream(spark: SparkSession, events: DataFrame, business_loader: C
             return
         cur = business_loader().select(F.col("id").alias("business_id"), "status", "latitude", "longitude")
         j = latest_event(pending).join(cur, "business_id", "left")
-        upsert = F.coalesce((F.col("change_type") != "DELETED") & (F.col("status") == "ACTIVE"), F.lit(False))
+        active = F.coalesce(F.col("status") == "ACTIVE", F.lit(False))
         rows = ix.index_rows(j.select(F.col("business_id").alias("id"), "latitude", "longitude"), refresher.current())
-        out = (j.select("business_id", "event_id", upsert.alias("upsert")).join(rows, "business_id", "left")
+        out = (j.select("business_id", "event_id", "change_type", active.alias("active")).join(rows, "business_id", "left")
                .withColumn("batch", F.lit(batch_id).cast("long")))
         out.write.mode("overwrite").parquet(f"{root}/decisions/batch_id={batch_id}")
 

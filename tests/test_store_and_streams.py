@@ -2,6 +2,8 @@
 
 import datetime as dt
 import os
+import subprocess
+import sys
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,6 +12,7 @@ from nearfield.operators import index as ix
 from nearfield.operators import load as L
 from nearfield.operators import quadtree as Q
 from nearfield.operators import search as S
+from nearfield.operators import sync as Y
 from nearfield.operators import telemetry as T
 from nearfield.session import work_dir
 from nearfield.sources.fixtures import Fixtures
@@ -173,6 +176,27 @@ def test_sync_stream_batches_replay_and_current_rows(spark, tmp_path):
     assert sorted(again.index().collect()) == sorted(ix.full_reindex(loader(), cfg).collect())
 
 
+def test_sync_stream_files_in_any_order_give_the_batch_result(spark, tmp_path):
+    t = dt.datetime(2024, 1, 1)
+    business = spark.createDataFrame([(i, 1, "n", "c", None, "a", 37.5, 127.0, "DELETED" if i == 4 else "ACTIVE", t, t) for i in (1, 2, 3, 4)], BIZ)
+    files = [[(10, 1, "UPDATED", False), (7, 3, "DELETED", False)], [(5, 1, "DELETED", False), (9, 2, "DELETED", False)],
+             [(6, 3, "CREATED", False), (8, 2, "CREATED", False), (10, 1, "UPDATED", False), (3, 4, "CREATED", False)]]
+    log = spark.createDataFrame([(*r, t) for f in files for r in f], LOG).dropDuplicates(["id"])
+    cfg = Fixtures(spark, SF_SMALL).hot_zone_config
+    base = ix.full_reindex(business, cfg)
+    want = _rows(Y.sync_index(base, log, business, None, cfg)[0])
+    assert [r[0] for r in want] == [1]
+    for n, order in enumerate(([0, 1, 2], [2, 1, 0])):
+        folder = f"{tmp_path}/log{n}"
+        _log_files(spark, folder, [files[k] for k in order])
+        events = spark.readStream.schema(LOG).option("maxFilesPerTrigger", 1).parquet(folder)
+        stream = start_sync_stream(spark, events, lambda: business, base, lambda: cfg, root=f"{tmp_path}/sync{n}")
+        stream.query.awaitTermination()
+        assert _rows(stream.index()) == want
+        stream.fold()
+        assert _rows(stream.index()) == want
+
+
 def test_no_batch_yet_leaves_the_base_index(spark, tmp_path):
     fx = Fixtures(spark, SF_SMALL)
     base = ix.full_reindex(fx.business, fx.hot_zone_config)
@@ -216,3 +240,21 @@ def test_telemetry_stream_counts_files_in_reverse_time_order(spark, tmp_path):
         want = sorted((r.window_start, r.endpoint, r.requests, round(r[value], 6)) for r in twin.collect())
         assert sorted((r.window_start, r.endpoint, r.requests, round(r.value, 6)) for r in got.filter(F.col("metric") == metric).collect()) == want
     assert got.filter("metric = 'rps_1m'").agg(F.sum("requests")).first()[0] == req.count()
+
+
+def test_a_session_without_a_checkpoint_folder_gets_one(spark, tmp_path):
+    """In a process of its own: the setting is fixed once a session runs, and a defaults file may hold it."""
+    code = ("import sys; sys.path.insert(0, sys.argv[1])\n"
+            "from nearfield.session import build_session, ensure_checkpoint_dir\n"
+            "s = build_session('local[1]', 1); assert s.conf.get('spark.checkpoint.dir', None) is None\n"
+            "print(ensure_checkpoint_dir(s)); assert s.range(3).checkpoint().count() == 3\n")
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = {k: v for k, v in os.environ.items() if not k.startswith(("PYSPARK_", "SPARK_"))} | {"SPARK_CONF_DIR": str(tmp_path), "NEARFIELD_DRIVER_MEMORY": "1g"}
+    done = subprocess.run([sys.executable, "-c", code, root], env=env, capture_output=True, text=True, timeout=120)
+    assert done.returncode == 0 and "nearfield-ckpt-" in done.stdout, done.stderr[-2000:]
+
+
+def test_late_server_errors_fail_a_stage(spark):
+    rows = [(n, 500 if n >= 9_800 else 200, s) for s in ("low", "mid") for n in range(10_000 if s == "low" else 9_800)]
+    got = spark.createDataFrame(rows, "request_id int, status_code int, stage string").groupBy("stage").agg(T.stage_ended_well().alias("ok")).collect()
+    assert {r.stage: r.ok for r in got} == {"low": False, "mid": True}
