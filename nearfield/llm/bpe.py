@@ -4,14 +4,15 @@ The distinct words (pre-tokens) of a batch are put in byte order: that order is
 because neighbours share their common prefix. Along the path the encoder keeps, for each prefix, the last token of
 the prefix's encoding: the one token t that ends there and may stand after the last token of the prefix without t.
 A shared prefix is worked out once. "May stand after" holds when merging the bytes of both tokens gives just these two
-tokens; it is asked once per pair of tokens and remembered.
+tokens; it is asked once per pair of tokens and remembered. It is read off the tokens' merge histories: no token along the
+right edge of the first, as it grows, may merge with one along the left edge of the second before either is merged further.
 
 Texts equal to a special token's string become that token's id, as the tokenizer file declares; no other special
 tokens are added, and truncation and padding play no role.
 
 Defined results: null text is the empty text (no ids, empty decoded text); texts are worked on whole, whatever their
 length; repeated rows each give a row; null ids stay null; an empty table gives an empty result; other columns play no
-role. The cache of encoded words is bounded by ``CACHE_WORDS``; it changes the time, never the result.
+role. The caches are bounded by ``CACHE_WORDS`` and ``CACHE_PAIRS``; they change the time, never the result.
 """
 
 from __future__ import annotations
@@ -30,7 +31,9 @@ from pyspark.sql import functions as F
 
 from nearfield.llm.common import map_batches, text_of
 
-CACHE_WORDS = 150_000
+CACHE_WORDS = 200_000
+CACHE_PAIRS = 1_000_000
+_NODE = (1 << 24) - 1
 BATCH_CHARS = 4_000_000
 # Fixed value: the word pattern of the byte-level tokenizers.
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -66,10 +69,12 @@ class TrieEncoder:
         self.split = regex.compile(WORD_PATTERN).findall
         self.marks = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")")
         self.uncut = re.compile(r" (?=\s|\Z)").search
-        self.starts = {b[:n]: -1 for b in self.ids for n in range(1, len(b))} | self.ids
-        self.known: dict[str, tuple] = {s: (i,) for s, i in self.special.items()}
+        self._grow_trie()
+        self._read_histories()
+        self.known = {s: (i,) for s, i in self.special.items()}
         self.pieces: dict[str, tuple] = {}
         self.after: dict[str, tuple] = {}    # the same for pieces after a blank, which the key leaves out
+        self.older: dict[str, tuple] = {}    # what ``after`` held before
         self.pairs: dict[int, bool] = {}
 
     def _merge(self, data: bytes) -> list[int]:
@@ -85,21 +90,92 @@ class TrieEncoder:
                 return parts
             parts[at:at + 2] = [best & 0xFFFFF]
 
+    def _grow_trie(self) -> None:
+        """The vocabulary's trie: ``step`` leads from node << 8 | byte to the next node, ``token`` gives a node's token or -1."""
+        self.step: dict[int, int] = {}
+        self.token = [-1]
+        for data, i in self.ids.items():
+            node = 0
+            for byte in data:
+                key = node << 8 | byte
+                node = self.step.get(key, 0)
+                if not node:
+                    node = self.step[key] = len(self.token)
+                    self.token.append(-1)
+            self.token[node] = i
+        self.first = [self.step[b] for b in range(256)]
+        self.single = [self.token[n] for n in self.first]
+
+    def _read_histories(self) -> None:
+        """``made``: token -> (rank, left, right) of the one merge that makes it. Files in which two merges make one token, or a merge comes
+        before those that make its parts, have no such histories (None); pairs are then merged byte by byte."""
+        made: dict[int, tuple[int, int, int]] | None = {}
+        for pair, rank_id in self.merged.items():
+            token = rank_id & 0xFFFFF
+            if token in made:
+                made = None
+                break
+            made[token] = rank_id >> 20, pair >> 20, pair & 0xFFFFF
+        if made and any(made[x][0] >= rank for rank, a, b in made.values() for x in (a, b) if x in made):
+            made = None
+        self.made = made
+        self.edges: dict[int, tuple] = {}
+
+    def _whole(self, token: int) -> bool:
+        """Merging the token's bytes gives the token."""
+        key = -2 << 20 | token
+        ok = self.pairs.get(key)
+        if ok is None:
+            ok = self.pairs[key] = self._merge(self.bytes_of[token]) == [token]
+        return ok
+
+    def _edge(self, token: int, side: int) -> tuple:
+        """((token, rank of the merge that takes it up), ...) from a single byte up to the token itself, along its left (1) or right (2) edge."""
+        key = token << 2 | side
+        edge = self.edges.get(key)
+        if edge is None:
+            up, edge = 1 << 40, ()
+            while True:
+                edge = ((token, up), *edge)
+                if token not in self.made:
+                    break
+                up, token = self.made[token][0], self.made[token][side]
+            self.edges[key] = edge
+        return edge
+
+    def _stay_apart(self, before: int, token: int) -> bool:
+        """Merging the bytes of both tokens, each whole by itself, gives the two of them. Of equal ranks the merge further left comes first."""
+        if self.made is None:
+            return self._merge(self.bytes_of[before] + self.bytes_of[token]) == [before, token]
+        left, right = self._edge(before, 2), self._edge(token, 1)
+        i = j = 0
+        while True:
+            (a, a_up), (b, b_up) = left[i], right[j]
+            got = self.merged.get(a << 20 | b)
+            if got is not None and got >> 20 < a_up and got >> 20 <= b_up:
+                return False
+            if i == len(left) - 1 and j == len(right) - 1:
+                return True
+            if a_up <= b_up:
+                i += 1
+            else:
+                j += 1
+
     def _may_follow(self, before: int, token: int) -> bool:
         """before -1: the token opens the word."""
         key = before << 20 | token
         ok = self.pairs.get(key)
         if ok is None:
-            whole = (self.bytes_of[before] if before >= 0 else b"") + self.bytes_of[token]
-            ok = self.pairs[key] = self._merge(whole) == ([before, token] if before >= 0 else [token])
+            ok = self.pairs[key] = self._whole(token) and (before < 0 or self._stay_apart(before, token))
         return ok
 
-    def encode_words(self, words: set[str]) -> None:
-        """Adds the words to ``known``; one depth-first walk over the trie of the words."""
-        starts, pairs, follow = self.starts, self.pairs, self._may_follow
+    def encode_words(self, words: set[str]) -> dict[str, tuple]:
+        """The words' tokens; one depth-first walk over the trie of the words."""
+        step, tokens, pairs, follow, made = self.step.get, self.token, self.pairs.get, self._may_follow, {}
+        first, single = self.first, self.single
         path, last, size, open_at = b"", [-1], [0], [()]
-        # For path[:i]: last[i] the last token of its encoding, size[i] that token's bytes, open_at[i] the
-        # positions from which path[:i] is still the start of some token.
+        # For path[:i]: last[i] the last token of its encoding, size[i] that token's bytes, open_at[i] the positions from which
+        # path[:i] is still the start of some token, each with its node of the vocabulary's trie (start << 24 | node).
         for word, data in sorted(((w, w.encode()) for w in words), key=lambda x: x[1]):
             n, top = 0, min(len(path), len(data))
             if path[:top] == data[:top]:
@@ -108,26 +184,35 @@ class TrieEncoder:
                 while path[n] == data[n]:
                     n += 1
             del last[n + 1:], size[n + 1:], open_at[n + 1:]
-            for end in range(n + 1, len(data) + 1):
+            opened, at = open_at[n], n
+            for byte in data[n:]:
                 live, token = [], None
-                for start in (*open_at[-1], end - 1):
-                    got = starts.get(data[start:end])
-                    if got is not None:
-                        live.append(start)
-                        if got >= 0 and token is None:
-                            before = last[start]
-                            ok = pairs.get(before << 20 | got)
-                            if ok if ok is not None else follow(before, got):
-                                token, taken = got, end - start
+                for here in opened:
+                    node = step((here & _NODE) << 8 | byte)
+                    if node is not None:
+                        live.append((here & ~_NODE) | node)
+                        if token is None:
+                            got = tokens[node]
+                            if got >= 0:
+                                before = last[here >> 24]
+                                ok = pairs(before << 20 | got)
+                                if ok if ok is not None else follow(before, got):
+                                    token, taken = got, at + 1 - (here >> 24)
+                live.append(at << 24 | first[byte])
+                at += 1
+                if token is None:  # the byte itself
+                    token, taken = single[byte], 1
                 last.append(token)
                 size.append(taken)
                 open_at.append(live)
+                opened = live
             path = data
             out, at = [], len(data)
             while at:
                 out.append(last[at])
                 at -= size[at]
-            self.known[word] = tuple(out[::-1])
+            made[word] = tuple(out[::-1])
+        return made
 
     def words(self, text: str) -> list[str]:
         """The text's words; special tokens' strings stand as words of their own."""
@@ -139,11 +224,18 @@ class TrieEncoder:
         return out
 
     def _learn(self, pieces: set[str], into: dict, blank: str) -> None:
-        """Encodes blank + piece, a run of words, for every piece not seen yet."""
-        split = {p: self.words(blank + p) for p in pieces - into.keys()}
-        self.encode_words({w for words in split.values() for w in words if w not in self.known})
-        for piece, words in split.items():
-            into[piece] = tuple(chain.from_iterable(map(self.known.__getitem__, words)))
+        """Encodes blank + piece, a run of words, for every piece not seen yet; only pieces without a blank before them may hold a
+        special token's string. Letters alone are one word."""
+        new = pieces - into.keys()
+        plain = {p for p in new if p.isalpha()}
+        split = self.split if blank else self.words
+        mixed = {p: split(blank + p) for p in new - plain}
+        made = self.encode_words({blank + p for p in plain}.union(*mixed.values()) - self.known.keys())
+        special = self.known
+        for p in plain:
+            into[p] = made[blank + p]
+        for p, words in mixed.items():
+            into[p] = tuple(chain.from_iterable([made[w] if w in made else special[w] for w in words]))
 
     def encode_batch(self, texts: list[str]) -> list[array]:
         # A blank before a non-blank always opens a word, so texts may be cut there and the pieces looked up
@@ -157,14 +249,16 @@ class TrieEncoder:
                 first, *rest = text.split(" ")
                 heads.append([first])
                 tails.append(rest)
-        if len(self.pieces) + len(self.after) > CACHE_WORDS:
+        if len(self.pieces) > CACHE_WORDS:
             self.pieces.clear()
-            self.after.clear()
-        if len(self.known) > CACHE_WORDS or len(self.pairs) > 6 * CACHE_WORDS:
-            self.known = {s: (i,) for s, i in self.special.items()}
+        if len(self.after) > CACHE_WORDS:  # those met again since then are taken back
+            self.older, self.after = self.after, {}
+        if len(self.pairs) > CACHE_PAIRS:
             self.pairs.clear()
         self._learn(set().union(*heads), self.pieces, "")
-        self._learn(set().union(*tails), self.after, " ")
+        met = set().union(*tails)
+        self.after.update((p, self.older[p]) for p in met & self.older.keys())
+        self._learn(met, self.after, " ")
         piece, after = self.pieces.__getitem__, self.after.__getitem__
         return [array("I", list(chain(chain.from_iterable(map(piece, head)), chain.from_iterable(map(after, tail)))))
                 for head, tail in zip(heads, tails)]
