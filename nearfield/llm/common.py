@@ -28,6 +28,16 @@ def text_of(col: str) -> Column:
     return F.coalesce(F.col(col).cast("string"), F.lit(""))
 
 
+def running_sums(values: Column) -> Column:
+    """The sums of an array of integers from its start to each place, by doubling: round k adds the sum that ends 2^k places before, so
+    n values take n log n additions and no array grows by copies of itself."""
+    rounds = F.when(F.size(values) > 1, F.sequence(F.lit(0), F.ceil(F.log2(F.size(values))).cast("int"))).otherwise(F.array().cast("array<int>"))
+
+    def double(sums, k):
+        return F.transform(sums, lambda x, i: x + F.coalesce(F.get(sums, i - F.call_function("shiftleft", F.lit(1), k)), F.lit(0)))
+    return F.aggregate(rounds, values.cast("array<int>"), double)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Cut the lineage with a reliable checkpoint in the shared folder of the session; partitions stay as they are."""
     ensure_checkpoint_dir(df.sparkSession)

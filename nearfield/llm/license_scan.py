@@ -28,7 +28,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from nearfield.llm.common import text_of
+from nearfield.llm.common import running_sums, text_of
 
 THRESHOLD = 0.8
 # Phrases and their labels.
@@ -163,13 +163,9 @@ def license_runs(docs: DataFrame, templates=TEMPLATES, threshold: float = THRESH
     return best.select("row_key", "doc_id", "template", "label", (F.col("best") / F.col("size")).alias("containment"))
 
 
-def _counted(label: str, step: int):
-    """Merge function: adds the blanks of the next piece up to the place of the phrase after it."""
-    def walk(acc, blanks):
-        at = acc["at"] + blanks
-        place = F.struct(at.alias("at"), F.lit(label).alias("label"))
-        return F.struct((at + F.lit(step - 1)).alias("at"), F.concat(acc["out"], F.array(place)).alias("out"))
-    return walk
+def _places(before: Column, label: str, step: int) -> Column:
+    """(at, label) of each phrase: the blanks before it, and the ``step`` - 1 inside each phrase that stands before it."""
+    return F.transform(running_sums(before), lambda total, i: F.struct((total - 1 + i * F.lit(step - 1)).alias("at"), F.lit(label).alias("label")))
 
 
 def base_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -185,7 +181,7 @@ def base_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
         step = len(phrase.split(" "))
         before = F.transform(F.slice(pieces, F.lit(1), F.size(pieces) - 1),
                              lambda p: F.length(p) - F.length(F.replace(p, F.lit(" "), F.lit(""))))
-        found = F.aggregate(before, F.struct(F.lit(-1).alias("at"), none.alias("out")), _counted(label, step), lambda acc: acc["out"])
+        found = F.transform(F.array(before), lambda b: _places(b, label, step))[0]  # a lambda variable is made once
         parts.append(F.when(F.contains(hay, F.lit(f" {phrase} ")), found).otherwise(none))
     n = F.when(F.col("flat") == "", F.lit(0)).otherwise(F.length("flat") - F.length(F.replace("flat", F.lit(" "), F.lit(""))) + 1)
     return rows.select("row_key", "doc_id", n.cast("long").alias("n_words"), F.concat(*parts).alias("places"))

@@ -6,7 +6,8 @@ of documents; intersecting the postings of a clause gives the rule's candidates,
 Rules without a mandatory trigram (``hex``) have no query and scan every text.
 
 Positions come from the regular expression alone: ``\\G(gap)(match)`` tiles the text from its start, so the code
-points of the gaps and matches before a match add up to its start; each text is passed over once.
+points of the gaps and matches before a match add up to its start. A rule passes over a candidate text twice, for the gaps and
+for the matches (``hex`` a third time to see whether there are any); the work grows as n log n with its n matches.
 
 Defined results: null text is empty; a row is looked up by a hash of (id, text), so null ids, repeated rows and
 rows of one id with different texts keep their own result, one output row per input row; an empty table gives
@@ -20,7 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from nearfield.llm.common import text_of
+from nearfield.llm.common import running_sums, text_of
 
 
 @dataclass(frozen=True)
@@ -86,16 +87,13 @@ def _spans(rule: Rule, text: Column) -> Column:
     """array of (start, end, kind) of one rule in a text, leftmost first, not overlapping."""
     tiled = rf"(?s)\G(.*?)({rule.pattern})"
     gaps, hits = F.regexp_extract_all(text, F.lit(tiled), F.lit(1)), F.regexp_extract_all(text, F.lit(tiled), F.lit(2))
-    state = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int,hit:string>>").alias("out"))
+    pairs = F.zip_with(gaps, hits, lambda g, h: F.struct(F.length(g).alias("gap"), F.length(h).alias("size"), h.alias("hit")))
 
-    def step(acc, x):
-        start = acc["at"] + F.length(x["gap"])
-        end = start + F.length(x["hit"])
-        return F.struct(end.alias("at"), F.concat(acc["out"], F.array(F.struct(
-            start.alias("start"), end.alias("end"), x["hit"].alias("hit")))).alias("out"))
+    def placed(tiles):
+        ends = running_sums(F.transform(tiles, lambda x: x["gap"] + x["size"]))
+        return F.zip_with(ends, tiles, lambda e, x: F.struct((e - x["size"]).alias("start"), e.alias("end"), x["hit"]))
 
-    pairs = F.zip_with(gaps, hits, lambda g, h: F.struct(g.alias("gap"), h.alias("hit")))
-    found = F.aggregate(pairs, state, step, lambda acc: acc["out"])
+    found = F.transform(F.array(pairs), placed)[0]  # the tiles are a lambda variable, so that they are made once
     if rule.value:
         found = F.filter(found, lambda x: F.length(F.regexp_replace(x["hit"], "^" + rule.value, "")) >= rule.least)
     elif rule.least:
