@@ -12,10 +12,14 @@ in a table of the items' blocks with so many bits flipped finds every
 item within the radius, without exception. Survivors of the full distance are verified: the weighted Jaccard
 similarity of the five-word shingles (a shingle weighs as much as its words) of window and item, at least ``THRESHOLD``.
 
+Items edited so far that their fingerprint lies beyond the radius, though their shingles do not, are found without loss as well: a window at
+the threshold shares at least one of an item's rarest shingles that together weigh more than the rest may miss. Around each
+place of such a shingle the item-sized windows are bounded by the weight of the item's shingles that they hold, and those whose bound
+reaches the threshold are compared, best bound first.
+
 Windows that the end of the text clips, down to the shortest that can reach the threshold, have no fingerprint of their size.
-A text has fewer of them than the longest item has words, so they are searched without loss: a window at the threshold
-shares at least one of an item's rarest shingles that together weigh more than the rest may miss. Each item found so is held
-against all its windows at the text's end.
+A text has fewer of them than the longest item has words, so each item of which a rare shingle stands there is held against all its
+windows at the text's end.
 
 The benchmark is the stated query set; it goes to the tasks in blocks of ``ITEM_BLOCK`` items, each of which passes
 over the documents once.
@@ -44,6 +48,8 @@ RADIUS = 10
 ITEM_BLOCK = 2_000
 _CHUNK = 16384
 _BLOCKS = ((0, 21), (21, 21), (42, 22))  # shift and bits
+_HELD_BITS = 22
+_HELD = np.uint64((1 << _HELD_BITS) - 1)
 _SIGNS = (np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).astype(np.int8) * 2 - 1)  # a byte's bits as +1 and -1
 
 
@@ -133,6 +139,9 @@ class ItemIndex:
         rare = self._rarest()
         order = np.argsort(np.array([s for s, _ in rare], np.uint64), kind="stable")
         self.rare, self.rare_item = np.array([s for s, _ in rare], np.uint64)[order], np.array([m for _, m in rare], np.int64)[order]
+        self.held = np.zeros(1 << _HELD_BITS, bool)  # by a shingle's low bits: few places of a text are asked further
+        self.held[self.rare & _HELD] = True
+        self.bags = [np.array(sorted(own["bag"]), np.uint64) for own in self.sets]
         self.longest = max(self.words, default=0)
 
     def _rarest(self) -> list[tuple[int, int]]:
@@ -194,12 +203,66 @@ class ItemIndex:
                 if similarity >= self.threshold:
                     yield row, member, p - start, end - start, similarity
 
+    def edited(self, hashes: np.ndarray, weights: np.ndarray, first: np.ndarray) -> Iterator[tuple[int, int, int, int, float]]:
+        """As ``hits``: of each row and item the best item-sized window, wherever the fingerprints lie."""
+        if not len(self.rare) or len(hashes) < self.width:
+            return
+        runs = shingles(hashes, self.width)
+        at = np.flatnonzero(self.held.take((runs & _HELD).view(np.int64)))
+        low = np.searchsorted(self.rare, runs[at], "left")
+        found = np.searchsorted(self.rare, runs[at], "right") - low
+        items = self.rare_item[np.repeat(low - (np.cumsum(found) - found), found) + np.arange(found.sum())]
+        at = np.repeat(at, found)
+        rows = np.searchsorted(first, at, "right") - 1
+        inside = at + self.width <= first[rows + 1]
+        order = np.lexsort((at[inside], items[inside], rows[inside]))
+        rows, items, at = rows[inside][order], items[inside][order], at[inside][order]
+        if not len(rows):
+            return
+        total = np.cumsum(np.concatenate([[0], weights.astype(np.int64)]))
+        pairs = np.flatnonzero(np.concatenate([[True], (np.diff(rows) != 0) | (np.diff(items) != 0)]))
+        for a, z in zip(pairs.tolist(), [*pairs[1:].tolist(), len(rows)]):
+            row, member = int(rows[a]), int(items[a])
+            best = self._best(member, at[a:z], int(first[row]), int(first[row + 1]), hashes, weights, runs, total)
+            if best:
+                yield row, member, best[1] - int(first[row]), best[1] + self.words[member] - int(first[row]), best[0]
+
+    def _best(self, member: int, places: np.ndarray, begin: int, end: int, hashes, weights, runs, total) -> tuple[float, int] | None:
+        """(similarity, start) of the best window in [begin, end) that holds one of the ``places``, the first of equal ones."""
+        n, own, best = self.words[member], self.sets[member], None
+        back = n - self.width  # a window that holds a shingle begins at most so far before it
+        breaks = np.flatnonzero(np.diff(places) > 2 * back + 1)
+        for a, z in zip([0, *(breaks + 1).tolist()], [*breaks.tolist(), len(places) - 1]):
+            low, high = max(begin, int(places[a]) - back), min(int(places[z]), end - n)
+            if low > high:
+                continue
+            part = slice(low, high + back + 1)
+            heavy = total[low + self.width:high + n + 1] - total[low:high + back + 1]
+            bag = self.bags[member]
+            held = np.minimum(np.searchsorted(bag, runs[part]), len(bag) - 1)
+            sums = np.cumsum(np.concatenate([[0], np.where(bag[held] == runs[part], heavy, 0)]))
+            every = np.cumsum(np.concatenate([[0], heavy]))
+            shared = np.minimum(sums[back + 1:] - sums[:-back - 1], own["all"])
+            bound = shared / (every[back + 1:] - every[:-back - 1] + own["all"] - shared)
+            open_ = np.flatnonzero(bound >= (self.threshold if best is None else max(self.threshold, best[0])) - 1e-9)
+            for k in open_[np.argsort(-bound[open_], kind="stable")].tolist():
+                if best and bound[k] < best[0] - 1e-12:
+                    break
+                start = low + k
+                if best and start >= best[1] and bound[k] <= best[0] + 1e-12:
+                    continue
+                x = self.similarity(member, hashes[start:start + n], weights[start:start + n])
+                if x >= self.threshold and (best is None or (x, -start) > (best[0], -best[1])):
+                    best = (x, start)
+        return best
+
     def hits(self, hashes: np.ndarray, weights: np.ndarray, first: np.ndarray) -> Iterator[tuple[int, int, int, int, float]]:
-        """(row, item, first word in the row, word after the last, similarity) of every window that holds an item; ``first`` as in
-        column_words."""
+        """(row, item, first word in the row, word after the last, similarity) of windows that hold an item, the best of each row and
+        item among them; ``first`` as in column_words."""
         if not self.sizes or not len(hashes):
             return
         yield from self.clipped(hashes, weights, first)
+        yield from self.edited(hashes, weights, first)
         for size, low, prints in fingerprints(hashes, weights, list(self.sizes)):
             members, own, tables = self.sizes[size]
             maybe = np.flatnonzero(tables[0].maybe(prints) | tables[1].maybe(prints) | tables[2].maybe(prints))

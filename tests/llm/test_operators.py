@@ -212,6 +212,17 @@ def test_secret_scan_added_rules(spark):
     assert [(s["kind"], text[s["start"]:s["end"]][:4]) for s in spans] == [("github", "ghp_"), ("pem", "----"), ("slack", "xoxb"), ("jwt", "eyJh"), ("google", "AIza")]
 
 
+def test_texts_with_very_many_hits(spark):
+    """200,000 hits in one text: positions of all of them, in time that does not grow with their square."""
+    n = 200_000
+    df = spark.createDataFrame([(1, "é token=abcdefgh1\n" * n), (2, "token=abcdefgh2")], "doc_id long, text string")
+    spans = {r.doc_id: r.spans for r in secret_scan.secret_scan(df).collect()}
+    assert [(s["start"], s["end"]) for s in spans[1]] == [(2 + 18 * i, 17 + 18 * i) for i in range(n)] and len(spans[2]) == 1
+    df = spark.createDataFrame([(1, "a cc by nc " * n)], "doc_id long, text string")
+    places = license_scan.base_scan(df).first()["places"]
+    assert [p["at"] for p in places] == [1 + 4 * i for i in range(n)]
+
+
 def test_trigram_queries_hold_in_every_match():
     for kind, n, grams in secret_scan.trigram_queries():
         rule = next(r for r in secret_scan.RULES if r.kind == kind)
@@ -349,6 +360,49 @@ def test_decontaminate_finds_items_the_end_of_a_text_clips(spark):
     assert not left & {k for k, _ in want}
 
 
+@pytest.mark.parametrize("n", [12, 24, 60, 100, 150, 200, 400])
+def test_edited_items_inside_texts_are_all_found(n):
+    """Items edited as far as the threshold allows, in one run or scattered, inside longer texts: none is lost, and the best window is
+    that of a plain search over all windows."""
+    import pyarrow as pa
+
+    pick = random.Random(n)
+    items = [(i, passage(f"edit{n}-{i}", n)) for i in range(12)]
+    index = decontaminate.ItemIndex(items, decontaminate.WIDTH, decontaminate.RADIUS)
+
+    def read(texts):
+        (_, _, hashes, sizes, first), = decontaminate.column_words(pa.array(texts, pa.string()))
+        return hashes, decontaminate.word_weights(sizes), first
+
+    texts = []
+    for _, item in items:
+        own = item.split()
+        for way in ("start", "middle", "end", "scattered"):
+            for k in range(1, n // 3):
+                at = {"start": range(k), "middle": range((n - k) // 2, (n - k) // 2 + k), "end": range(n - k, n), "scattered": pick.sample(range(n), k)}[way]
+                words = list(own)
+                for p in at:
+                    words[p] = f"edit{pick.randrange(10 ** 6)}"
+                h, w, _ = read([" ".join(words)])
+                if index.similarity([i for i, t in items if t == item][0], h, w) < decontaminate.THRESHOLD:
+                    break
+                last = passage(f"a{n}{way}{k}", 30) + " " + " ".join(words) + " " + passage(f"z{n}{way}{k}", 70)
+            else:
+                k += 1
+            if k > 1:
+                texts.append((item, last))
+    hashes, weights, first = read([t for _, t in texts])
+    got = {}
+    for row, item, start, end, x in index.hits(hashes, weights, first):
+        got[row, item] = max(got.get((row, item), (0.0, 0)), (x, -start))
+    assert len(texts) >= 12
+    for row, (item, _) in enumerate(texts):
+        member = [i for i, t in items if t == item][0]
+        a, z = int(first[row]), int(first[row + 1])
+        best = max((index.similarity(member, hashes[s:s + n], weights[s:s + n]), -(s - a)) for s in range(a, z - n + 1))
+        assert best[0] >= decontaminate.THRESHOLD and got[row, member] == pytest.approx(best), (n, row)
+
+
 def test_hamming_search_finds_every_fingerprint_within_the_radius():
     import numpy as np
 
