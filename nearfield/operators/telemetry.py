@@ -1,8 +1,9 @@
 """Request-log analytics: latency percentiles, rates, stage verdicts, windows, alerts.
 
 Exact percentiles never gather or sort a group's values in one task. Rows are first counted per (group, value), which
-takes ties away before the shuffle; the counts of ``BINS`` equal bins between a group's least and largest value show in which
-bin each wanted position lies; only the values of those bins are ordered.
+takes ties away before the shuffle; the counts of logarithmic buckets show in which each wanted position lies, those of ``BINS`` equal
+bins of such a bucket in which part of it; only the values of those parts are ordered. Heavy tails and outliers do not change how
+finely the rest is divided.
 """
 
 from __future__ import annotations
@@ -10,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from nearfield.operators.sketch import merge, sketch, sketch_quantiles, with_bucket
+
 BINS = 4096
 
 # Fixed thresholds of the service's SLA and load-test verdicts.
@@ -36,35 +39,45 @@ def exact_percentiles(df: DataFrame, group_cols: list[str], value_col: str, prob
     weight = F.col(weight_col) if weight_col else F.lit(1)
     counts = (df.filter(F.col(value_col).isNotNull()).groupBy(*group_cols, F.col(value_col).cast("double").alias("_v"))
               .agg(F.sum(weight).cast("long").alias("_c")))
-    spans = counts.groupBy(*group_cols).agg(F.min("_v").alias("_low"), F.max("_v").alias("_high"), F.sum("_c").alias("_total"))
 
-    def joined(left: DataFrame, right: DataFrame) -> DataFrame:
-        """Inner join on the group columns, null-safe; those of ``left`` stay."""
-        right = right.withColumnsRenamed({c: f"_g_{c}" for c in group_cols})
+    def joined(left: DataFrame, right: DataFrame, *more: str) -> DataFrame:
+        """Inner join on the group columns, null-safe, and ``more``; those of ``left`` stay."""
+        keys = [*group_cols, *more]
+        right = right.withColumnsRenamed({c: f"_g_{c}" for c in keys})
         on = F.lit(True)
-        for c in group_cols:
-            on = on & F.col(c).eqNullSafe(F.col(f"_g_{c}"))
-        return left.join(right, on).drop(*[f"_g_{c}" for c in group_cols])
-
-    bin_of = F.when(F.col("_high") > F.col("_low"), F.least(F.lit(BINS - 1), F.floor((F.col("_v") - F.col("_low")) / (F.col("_high") - F.col("_low")) * BINS))).otherwise(0)
-    binned = joined(counts, spans).withColumn("_b", bin_of.cast("int")).select(*group_cols, "_v", "_c", "_b")
-    per_group = Window.partitionBy(*group_cols).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)  # BINS rows at most
-    bins = (binned.groupBy(*group_cols, "_b").agg(F.sum("_c").alias("_n"))
-            .withColumn("_before", F.coalesce(F.sum("_n").over(per_group), F.lit(0))))
+        for c in keys:
+            on = on & (F.col(c).eqNullSafe(F.col(f"_g_{c}")) if c in group_cols else F.col(c) == F.col(f"_g_{c}"))
+        return left.join(right, on).drop(*[f"_g_{c}" for c in keys])
+
+    def before(*keys: str, order: str, n: str) -> Column:
+        rows = Window.partitionBy(*group_cols, *keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        return F.coalesce(F.sum(n).over(rows), F.lit(0))
+
+    # Logarithmic buckets first, so that no outlier widens them; a group has at most 64 an octave.
+    binned = with_bucket(counts, "_v", "_b")
+    bins = binned.groupBy(*group_cols, "_b").agg(F.sum("_c").alias("_n"), F.min("_v").alias("_low"), F.max("_v").alias("_high"))
+    bins = bins.select("*", before(order="_b", n="_n").alias("_before"), F.sum("_n").over(Window.partitionBy(*group_cols)).alias("_total"))
     wanted = []
     for name, p in probs.items():
         h = (F.col("_total") - 1) * F.lit(p)
         lo = F.floor(h).cast("long")
         for side, pos in ((0, lo), (1, F.least(lo + 1, F.col("_total") - 1))):
             wanted.append(F.struct(F.lit(name).alias("name"), pos.alias("pos"), (h - lo).alias("frac"), F.lit(side).alias("side")))
-    picks = spans.select(*group_cols, F.explode(F.array(*wanted)).alias("w")).select(*group_cols, "w.*")
+    inside_bin = F.filter(F.array(*wanted), lambda w: (w["pos"] >= F.col("_before")) & (w["pos"] < F.col("_before") + F.col("_n")))
     # Two positions per probability: the picks stay few per group.
-    placed = joined(picks, bins).filter((F.col("pos") >= F.col("_before")) & (F.col("pos") < F.col("_before") + F.col("_n")))
-    chosen = placed.select(*group_cols, "_b", "_before").distinct()
-    inside = joined(binned, chosen.withColumnRenamed("_b", "_cb")).filter(F.col("_b") == F.col("_cb"))
-    per_bin = Window.partitionBy(*group_cols, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
-    ranked = inside.withColumn("_from", F.col("_before") + F.coalesce(F.sum("_c").over(per_bin), F.lit(0))).select(*group_cols, "_v", "_c", "_from")
-    hit = joined(picks, ranked).filter((F.col("pos") >= F.col("_from")) & (F.col("pos") < F.col("_from") + F.col("_c")))
+    picks = bins.withColumn("w", F.explode(inside_bin)).select(*group_cols, "_b", "_before", "_low", "_high", "w.*")
+    # Then ``BINS`` equal bins between the least and the greatest value of each bucket that holds a wanted position.
+    chosen = picks.select(*group_cols, "_b", "_before", "_low", "_high").distinct()
+    part = F.when(F.col("_high") > F.col("_low"), F.least(F.lit(BINS - 1), F.floor((F.col("_v") - F.col("_low")) / (F.col("_high") - F.col("_low")) * BINS))).otherwise(0)
+    inside = joined(binned, chosen, "_b").withColumn("_p", part.cast("int")).select(*group_cols, "_b", "_p", "_v", "_c", "_before")
+    parts = inside.groupBy(*group_cols, "_b", "_p").agg(F.sum("_c").alias("_n"), F.max("_before").alias("_before"))
+    parts = parts.withColumn("_from", F.col("_before") + before("_b", order="_p", n="_n")).drop("_before")
+    placed = joined(picks.drop("_before", "_low", "_high"), parts, "_b").filter(
+        (F.col("pos") >= F.col("_from")) & (F.col("pos") < F.col("_from") + F.col("_n")))
+    chosen = placed.select(*group_cols, "_b", "_p", "_from").distinct()
+    ranked = joined(inside.drop("_before"), chosen, "_b", "_p")
+    ranked = ranked.select(*group_cols, "_b", "_p", "_v", "_c", (F.col("_from") + before("_b", "_p", order="_v", n="_c")).alias("_at"))
+    hit = joined(placed.drop("_from", "_n"), ranked, "_b", "_p").filter((F.col("pos") >= F.col("_at")) & (F.col("pos") < F.col("_at") + F.col("_c")))
     per = hit.groupBy(*group_cols, "name").agg(
         F.max(F.when(F.col("side") == 0, F.col("_v"))).alias("_lo"),
         F.max(F.when(F.col("side") == 1, F.col("_v"))).alias("_hi"),
@@ -85,6 +98,38 @@ def latency_summary(requests: DataFrame, group_cols: list[str]) -> DataFrame:
     return basic.join(pct, group_cols, "left")
 
 
+def latency_sketch(requests: DataFrame, group_cols: list[str]) -> DataFrame:
+    """E3 for scale: as ``latency_summary``'s percentiles, estimated from mergeable sketches."""
+    return sketch_quantiles(sketch(requests, group_cols, "latency_ms"), group_cols, {"p50_ms": 0.5, "p90_ms": 0.9, "p95_ms": 0.95, "p99_ms": 0.99})
+
+
+def minute_sketches(requests: DataFrame, group_cols: list[str]) -> DataFrame:
+    """(minute, groups, bucket, c): a sketch per minute, which any window of minutes merges; its size does not grow with the traffic."""
+    return sketch(requests.withColumn("minute", _minute("ts")), ["minute", *group_cols], "latency_ms")
+
+
+def p95_from_sketches(states: DataFrame, group_cols: list[str], minutes: int = 5) -> DataFrame:
+    """(window_start, groups, n, p95_ms) over sliding windows of ``minutes`` minutes that hold a request, from sketches per minute."""
+    rows = states.withColumn("_k", F.explode(F.sequence(F.lit(0), F.lit(minutes - 1))))
+    rows = rows.withColumn("window_start", F.expr("minute - make_dt_interval(0, 0, _k, 0)")).drop("_k", "minute")
+    keys = ["window_start", *group_cols]
+    return sketch_quantiles(merge(rows, keys), keys, {"p95_ms": 0.95})
+
+
+def rank_error(requests: DataFrame, estimates: DataFrame, group_cols: list[str], probs: dict[str, float]) -> DataFrame:
+    """Per group and estimate: how far the share of values below it, or up to it, is from the probability (0 where it lies between)."""
+    groups = estimates.select(*[F.col(c).alias(f"_g_{c}") for c in group_cols], *probs)
+    on = F.lit(True)
+    for c in group_cols:
+        on = on & F.col(c).eqNullSafe(F.col(f"_g_{c}"))
+    v = F.col("latency_ms")
+    shares = requests.filter(v.isNotNull()).join(groups, on).groupBy(*group_cols).agg(
+        *[F.avg((v < F.col(n)).cast("double")).alias(f"_{n}_a") for n in probs],
+        *[F.avg((v <= F.col(n)).cast("double")).alias(f"_{n}_z") for n in probs])
+    error = [F.greatest(F.lit(0.0), F.col(f"_{n}_a") - p, F.lit(p) - F.col(f"_{n}_z")).alias(n) for n, p in probs.items()]
+    return shares.select(*group_cols, *error)
+
+
 def request_rates(requests: DataFrame, group_cols: list[str]) -> DataFrame:
     """Requests, duration, requests/s, failure rate (status >= 400) and check pass rate; 0 when idle."""
     agg = requests.groupBy(*group_cols).agg(

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from nearfield.operators import sync as Y
 from nearfield.operators import telemetry as T
+from nearfield.operators.sketch import RELATIVE_ERROR
 from nearfield.plans.catalog import register
 from nearfield.plans.sqlgen import with_fixtures
 from nearfield.sources.fixtures import Fixtures
@@ -32,6 +33,61 @@ def latency_summary(spark, sf_dir):
                     *[_r6(F.col(c)).alias(c) for c in ("p50_ms", "p90_ms", "p95_ms", "p99_ms")])
 
 
+def bucket_sql(v: str) -> str:
+    """The sketch's bucket of a positive value: the octave and its 64th part, by the exact powers of two on both sides."""
+    e = f"CAST(floor(log2(nullif({v}, 0))) AS BIGINT)"
+    e = f"(CASE WHEN {v} < pow(CAST(2 AS DOUBLE), {e}) THEN {e} - 1 WHEN {v} >= pow(CAST(2 AS DOUBLE), {e} + 1) THEN {e} + 1 ELSE {e} END)"
+    return f"(CASE WHEN {v} = 0 THEN -100000 ELSE {e} * 64 + CAST(floor(({v} / pow(CAST(2 AS DOUBLE), {e}) - 1) * 64) AS BIGINT) END)"
+
+
+def middle_sql(b: str) -> str:
+    return (f"(CASE WHEN {b} = -100000 THEN 0 ELSE pow(CAST(2 AS DOUBLE), floor({b} / CAST(64 AS DOUBLE))) * "
+            f"(1 + ({b} - 64 * floor({b} / CAST(64 AS DOUBLE)) + 0.5) / CAST(64 AS DOUBLE)) END)")
+
+
+def sketched_sql(src: str, groups: str, probs: dict[str, float]) -> str:
+    """The estimates from ordered lists of buckets: the middle of the bucket at each position, interpolated as the exact percentile."""
+    at = lambda pos: middle_sql(f"list_extract(bs, CAST({pos} AS BIGINT) + 1)")
+    cols = ", ".join(f"round({at(f'floor((n - 1) * {p}::DOUBLE)')} + ({at(f'least(floor((n - 1) * {p}::DOUBLE) + 1, n - 1)')} - {at(f'floor((n - 1) * {p}::DOUBLE)')}) "
+                     f"* ((n - 1) * {p}::DOUBLE - floor((n - 1) * {p}::DOUBLE)), 6) AS {name}" for name, p in probs.items())
+    return f"""SELECT {groups}, n, {cols} FROM (SELECT {groups}, count(*) AS n, list(b ORDER BY b) AS bs
+  FROM (SELECT *, {bucket_sql('latency_ms')} AS b FROM {src} WHERE latency_ms IS NOT NULL) GROUP BY {groups})"""
+
+
+_PROBS = {"p50_ms": 0.5, "p90_ms": 0.9, "p95_ms": 0.95, "p99_ms": 0.99}
+
+
+@register("latency_sketch", with_fixtures(["request_log"], f"""
+est AS ({sketched_sql('request_log', 'endpoint, stage', _PROBS)})
+SELECT endpoint, stage, n, p50_ms, p90_ms, p95_ms, p99_ms, true AS within_bound, true AS ranks_within FROM est
+"""))
+def latency_sketch(spark, sf_dir):
+    """E3 for scale: percentiles from mergeable sketches; each within 1/128 of the exact one, and its rank within 2 % of its own."""
+    req = Fixtures(spark, sf_dir).request_log
+    keys = ["endpoint", "stage"]
+    est = T.latency_sketch(req, keys)
+    exact = T.exact_percentiles(req, keys, "latency_ms", _PROBS).withColumnsRenamed({c: f"x_{c}" for c in _PROBS})
+    ranks = T.rank_error(req, est, keys, _PROBS).select(*keys, F.greatest(*_PROBS).alias("rank_error"))
+    within = F.lit(True)
+    for c in _PROBS:
+        within = within & (F.abs(F.col(c) - F.col(f"x_{c}")) <= F.abs(F.col(f"x_{c}")) * RELATIVE_ERROR + 1e-9)
+    out = est.join(exact, keys).join(ranks, keys)
+    return out.select(*keys, "n", *[_r6(F.col(c)).alias(c) for c in _PROBS], within.alias("within_bound"),
+                      (F.col("rank_error") <= 0.02).alias("ranks_within"))
+
+
+@register("p95_5m_sketch", with_fixtures(["request_log"], f"""
+win AS (SELECT w.window_start, r.endpoint, r.latency_ms FROM request_log r, (SELECT unnest(generate_series(0, 4)) AS k) s,
+  LATERAL (SELECT time_bucket(INTERVAL 1 MINUTE, r.ts) - s.k * INTERVAL 1 MINUTE AS window_start) w)
+{sketched_sql('win', 'window_start, endpoint', {'p95_ms': 0.95})}
+"""))
+def p95_5m_sketch(spark, sf_dir):
+    """I4 for scale: p95 of sliding 5-minute windows, merged from the sketches of their minutes."""
+    states = T.minute_sketches(Fixtures(spark, sf_dir).request_log, ["endpoint"])
+    w = T.p95_from_sketches(states, ["endpoint"])
+    return w.select("window_start", "endpoint", "n", _r6(F.col("p95_ms")).alias("p95_ms"))
+
+
 _RATES_SQL = """
 rates AS (
   SELECT stage, count(*) AS requests, epoch(max(ts)) - epoch(min(ts)) AS duration_s,
