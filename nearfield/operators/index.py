@@ -18,6 +18,8 @@ STORAGE_PRECISION = 8
 ZONE_HOT = "hot"
 ZONE_NORMAL = "normal"
 HOT_PREFIX_LEN = 4
+MAX_PREFIX_LEN = 10  # fixed: the width of the configuration's prefix column
+BROADCAST_ZONES = 1 << 20
 
 INDEX_COLUMNS = ["business_id", "geohash", "latitude", "longitude", "zone", "gh4"]
 
@@ -48,8 +50,38 @@ def attach_hot_zone(df: DataFrame, config: DataFrame | None, geohash_col: str =
     return out.withColumn("is_hot", F.col("hz_prefix").isNotNull())
 
 
-def index_rows(df: DataFrame, config: DataFrame | None, id_col: str = "id") -> DataFrame:
-    """Index rows for business rows: geohash(8) from coordinates rounded to the stored 6 decimals."""
+def longest_zones(config: DataFrame) -> DataFrame:
+    """Active hot-zone rows of prefixes of 1 to ``MAX_PREFIX_LEN`` letters: hz_prefix, hz_radius_limit; the least limit where a prefix
+    stands twice."""
+    prefix = F.col("geohash_prefix").rlike(f"^[{geo.GEOHASH_ALPHABET}]{{1,{MAX_PREFIX_LEN}}}$")
+    return config.filter(F.col("is_active") & prefix).groupBy(F.col("geohash_prefix").alias("hz_prefix")).agg(
+        F.min("radius_limit").alias("hz_radius_limit"))
+
+
+def attach_longest_zone(df: DataFrame, config: DataFrame, geohash_col: str = "geohash") -> DataFrame:
+    """S8 with longest prefixes: hz_prefix, hz_radius_limit and is_hot of the longest configured prefix of a geohash.
+
+    One equi-join per prefix length in the configuration. Its rows and lengths are read before the plan is made: up to ``BROADCAST_ZONES``
+    zones are broadcast, so the rows stay where they are; beyond, the joins shuffle. A null geohash has no zone.
+    """
+    zones = longest_zones(config)
+    few = zones.limit(BROADCAST_ZONES + 1).count() <= BROADCAST_ZONES
+    lengths = sorted((r[0] for r in zones.select(F.length("hz_prefix")).distinct().collect()), reverse=True)  # MAX_PREFIX_LEN at most
+    gh, found = F.col(geohash_col), []
+    for n in lengths:
+        side = zones.filter(F.length("hz_prefix") == n).select(
+            F.col("hz_prefix").alias(f"_hz_key{n}"), F.struct("hz_prefix", "hz_radius_limit").alias(f"_hz{n}"))
+        key = F.when(F.length(gh) >= n, F.substring(gh, 1, n))
+        df = df.join(F.broadcast(side) if few else side, key == F.col(f"_hz_key{n}"), "left").drop(f"_hz_key{n}")
+        found.append(F.col(f"_hz{n}"))
+    best = F.coalesce(*found) if found else F.lit(None).cast("struct<hz_prefix:string,hz_radius_limit:int>")
+    df = df.withColumn("_hz", best).withColumns({"hz_prefix": F.col("_hz.hz_prefix"), "hz_radius_limit": F.col("_hz.hz_radius_limit")})
+    return df.withColumn("is_hot", F.col("hz_prefix").isNotNull()).drop("_hz", *[f"_hz{n}" for n in lengths])
+
+
+def index_rows(df: DataFrame, config: DataFrame | None, id_col: str = "id", longest_prefix: bool = False) -> DataFrame:
+    """Index rows for business rows: geohash(8) from coordinates rounded to the stored 6 decimals. ``longest_prefix`` takes zones of any
+    prefix length in place of exactly four letters."""
     rows = df.select(
         F.col(id_col).alias("business_id"),
         F.round(F.col("latitude"), 6).alias("latitude"),
@@ -57,7 +89,7 @@ def index_rows(df: DataFrame, config: DataFrame | None, id_col: str = "id") -> D
     )
     rows = geo.with_geohash(rows, "latitude", "longitude", STORAGE_PRECISION).select(
         "business_id", "geohash", "latitude", "longitude")
-    rows = attach_hot_zone(rows, config)
+    rows = attach_longest_zone(rows, config) if longest_prefix and config is not None else attach_hot_zone(rows, config)
     return rows.select(
         "business_id", "geohash", "latitude", "longitude",
         F.when(F.col("is_hot"), F.lit(ZONE_HOT)).otherwise(F.lit(ZONE_NORMAL)).alias("zone"),
@@ -65,9 +97,9 @@ def index_rows(df: DataFrame, config: DataFrame | None, id_col: str = "id") -> D
     )
 
 
-def full_reindex(business: DataFrame, config: DataFrame | None = None) -> DataFrame:
+def full_reindex(business: DataFrame, config: DataFrame | None = None, longest_prefix: bool = False) -> DataFrame:
     """Rebuild the index from every ACTIVE business (deleted ones are never indexed)."""
-    return index_rows(business.filter(F.col("status") == "ACTIVE"), config)
+    return index_rows(business.filter(F.col("status") == "ACTIVE"), config, longest_prefix=longest_prefix)
 
 
 def is_empty(df: DataFrame) -> bool:
@@ -143,3 +175,29 @@ def cell_density(index: DataFrame, precision: int, threshold: int) -> DataFrame:
 def densest_cells(index: DataFrame, precision: int, k: int) -> DataFrame:
     """Top-k report of the densest cells (ties by cell); a distributed take-ordered, not a sort of all cells."""
     return cell_density(index, precision, 0).drop("propose_hot").orderBy(F.desc("businesses"), F.asc("cell")).limit(k)
+
+
+def zone_proposals(index: DataFrame, threshold: int, finest: int = 7, coarsest: int = 4) -> DataFrame:
+    """E7 over several precisions: (cell, precision, own) of the dense cells, each with the businesses that no dense cell below it
+    explains, where those are at least ``threshold``.
+
+    The index is counted once, by its finest cells; each coarser precision adds up the cells that were not dense, so the
+    rows shrink from level to level and a hot place is merged before any shuffle.
+    """
+    cells = index.filter(F.length("geohash") >= finest).groupBy(F.substring("geohash", 1, finest).alias("cell")).agg(
+        F.count(F.lit(1)).alias("own"))
+    out = None
+    for p in range(finest, coarsest - 1, -1):
+        dense = cells.filter(F.col("own") >= threshold).select("cell", F.lit(p).alias("precision"), "own")
+        out = dense if out is None else out.unionByName(dense)
+        cells = cells.filter(F.col("own") < threshold).groupBy(F.substring("cell", 1, p - 1).alias("cell")).agg(F.sum("own").alias("own"))
+    return out
+
+
+def proposed_config(proposals: DataFrame) -> DataFrame:
+    """Hot-zone rows for the proposals: the radius limit is the largest radius whose search precision is the cell's."""
+    limit = None
+    for radius, p in geo.POLICY_PRECISION:
+        limit = F.when(F.col("precision") >= p, F.lit(radius)) if limit is None else limit.when(F.col("precision") >= p, F.lit(radius))
+    return proposals.select(F.col("cell").alias("geohash_prefix"), F.concat(F.lit("dense: "), F.col("own")).alias("description"),
+                            limit.cast("int").alias("radius_limit"), F.lit(True).alias("is_active"))

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
+from nearfield.operators import business as B
 from nearfield.operators import index as ix
 from nearfield.operators import load as L
 from nearfield.operators import mutate as M
 from nearfield.plans.catalog import register
 from nearfield.plans.sqlgen import geohash_select, with_fixtures
+from nearfield.session import work_dir
 from nearfield.sources.fixtures import Fixtures
 
 _CLEAN_SQL = """
@@ -77,6 +81,48 @@ def import_rejects(spark, sf_dir):
     return rej
 
 
+IMPORT_LIMIT = 100
+
+
+@register("import_limit", with_fixtures(["raw_business"], _IMPORT_SQL + f""",
+parsed_rows AS (
+  SELECT * FROM checked WHERE source_id IS NOT NULL AND NOT coalesce(regexp_matches(reason, 'invalid (id|owner_id|latitude|longitude)'), false)
+  ORDER BY CAST(raw_id AS BIGINT) LIMIT {IMPORT_LIMIT})
+SELECT source_id, owner_id, name, category, phone, address, latitude, longitude FROM parsed_rows WHERE reason IS NULL
+"""))
+def import_limit(spark, sf_dir):
+    """A3 with ``limit``: of the staging rows, exported to a folder of CSV files in id order, those accepted up to the 100th line that
+    can be read, in file order."""
+    raw = Fixtures(spark, sf_dir).raw_business.withColumn("created_at", F.col("created_at_raw"))
+    for c in set(L.BUSINESS_CSV_COLUMNS) - set(raw.columns):
+        raw = raw.withColumn(c, F.lit(None).cast("string"))
+    path = work_dir(spark, f"csv-{uuid.uuid4().hex}")
+    (raw.select(*L.BUSINESS_CSV_COLUMNS, F.col("id").cast("long").alias("_n")).repartitionByRange(8, "_n").sortWithinPartitions("_n").drop("_n")
+     .write.option("header", True).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
+    accepted, _ = L.import_csv(spark, path, IMPORT_LIMIT)
+    return accepted
+
+
+_VIEW = "id, owner_id, name, category, phone, address, latitude, longitude, status, updated_at"
+
+
+@register("business_view", with_fixtures(["business"], f"SELECT {_VIEW} FROM business"))
+def business_view(spark, sf_dir):
+    """Every business as a client sees it."""
+    return B.business_view(Fixtures(spark, sf_dir).business)
+
+
+@register("get_business", with_fixtures(["business", "change_log"], f"""
+asked AS (SELECT DISTINCT business_id AS id FROM change_log)
+SELECT a.id, {', '.join('b.' + c for c in _VIEW.split(', ')[1:])}, CASE WHEN b.id IS NULL THEN 'business not found: ' || a.id END AS error
+FROM asked a LEFT JOIN (SELECT * FROM business WHERE status = 'ACTIVE') b USING (id)
+"""))
+def get_business(spark, sf_dir):
+    """The view of every business that the change log names, or why there is none."""
+    fx = Fixtures(spark, sf_dir)
+    return B.get_one(fx.business, fx.change_log, "business_id")
+
+
 _INCOMING_SQL = """
 incoming AS (
   SELECT CASE WHEN id % 2 = 0 THEN id ELSE id + 5000000 END AS id, owner_id, name, category, phone, address,

@@ -2,19 +2,22 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 
 from pyspark.sql import functions as F
 
 from nearfield.functions import geo
 from nearfield.functions.cursor import decode_cursor, encode_cursor
+from nearfield.functions.sql import register_functions
 from nearfield.operators import index as ix
 from nearfield.operators import validate as V
 from nearfield.plans.catalog import register
-from nearfield.plans.sqlgen import axis_cell, clamp_lat, cursor, d, geohash_select, wrap_lon, with_fixtures
+from nearfield.plans.sqlgen import axis_cell, clamp_lat, cursor, d, geohash_select, hav, wrap_lon, with_fixtures
 from nearfield.session import work_dir
 from nearfield.sources.fixtures import Fixtures
 from nearfield.sources.index_store import IndexStore, bootstrap_index
+from nearfield.sources.request_log_store import RequestLogStore
 
 _BUSINESS_GH = geohash_select(
     geohash_select(geohash_select("(SELECT id, latitude, longitude FROM business)", "latitude", "longitude", 8, "gh8"),
@@ -277,3 +280,37 @@ def retention(spark, sf_dir):
     return r.groupBy(F.to_date("ts").alias("day")).agg(F.count(F.lit(1)).alias("kept_rows"))
 
 
+@register("retention_store", with_fixtures(["request_log"], """
+SELECT CAST(ts AS DATE) AS day, count(*) AS kept_rows, min(ts) AS first_ts FROM request_log
+WHERE ts >= TIMESTAMP '2024-01-17 06:30:00' GROUP BY CAST(ts AS DATE)
+"""))
+def retention_store(spark, sf_dir):
+    """C8 over the stored log: written by day in two batches, the second twice, then cut at a time of day."""
+    log = Fixtures(spark, sf_dir).request_log
+    store = RequestLogStore(spark, work_dir(spark, f"log-{uuid.uuid4().hex}"), log.schema)
+    for batch in (0, 1, 1):
+        store.append(log.filter(F.col("request_id") % 2 == batch), batch)
+    store.retain(dt.datetime(2024, 1, 17, 6, 30))
+    return store.rows().groupBy("day").agg(F.count(F.lit(1)).alias("kept_rows"), F.min("ts").alias("first_ts"))
+
+
+@register("sql_functions", with_fixtures(["search_query"], f"""
+g AS ({geohash_select(geohash_select('search_query', 'latitude', 'longitude', 8, 'gh8'), 'latitude', 'longitude', 5, 'gh5')}),
+nb AS (SELECT query_id, list_sort(list(cell)) AS cells FROM ({_neighbors_sql(6)}) GROUP BY query_id)
+SELECT query_id, gh8, gh5, cells, CASE WHEN radius_m <= 300 THEN 7 WHEN radius_m <= 1000 THEN 6 WHEN radius_m <= 5000 THEN 5 WHEN radius_m <= 20000 THEN 4 ELSE 3 END AS policy,
+  CAST(floor({hav('latitude', 'longitude', d(37.4991), d(127.0313))} + {d(0.5)}) AS BIGINT) AS distance_m,
+  round({clamp_lat(f"latitude + radius_m * cos(radians(query_id % 360)) / {d(geo.METERS_PER_DEGREE_FLAT)}")}, 6) AS moved_lat,
+  {cursor('query_id % 250')} AS cursor, CAST(query_id % 250 AS INTEGER) AS decoded, CAST(NULL AS INTEGER) AS bad
+FROM g JOIN nb USING (query_id)
+"""))
+def sql_functions(spark, sf_dir):
+    """B1-B9 as SQL functions: a query that is SQL text only."""
+    register_functions(spark)
+    return spark.sql("""
+SELECT query_id, nf_geohash_encode(latitude, longitude, 8) AS gh8, nf_geohash_encode(latitude, longitude, 5) AS gh5,
+  array_sort(nf_neighbor_cells(latitude, longitude, 6)) AS cells, nf_precision_for_radius(radius_m) AS policy,
+  nf_round_half_up(nf_haversine_m(latitude, longitude, 37.4991D, 127.0313D)) AS distance_m,
+  round(nf_move_point(latitude, longitude, radius_m, radians(query_id % 360)).latitude, 6) AS moved_lat,
+  nf_encode_cursor(cast(query_id % 250 as int)) AS cursor, nf_decode_cursor(nf_encode_cursor(cast(query_id % 250 as int))) AS decoded,
+  nf_decode_cursor(concat(nf_encode_cursor(cast(query_id % 250 as int)), '!')) AS bad
+FROM {search_query}""", search_query=Fixtures(spark, sf_dir).search_query)

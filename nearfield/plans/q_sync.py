@@ -10,7 +10,7 @@ from nearfield.operators import index as ix
 from nearfield.operators import sync as Y
 from nearfield.plans.catalog import register
 from nearfield.plans.sqlgen import geohash_select, with_fixtures
-from nearfield.session import work_dir
+from nearfield.session import Scratch, work_dir
 from nearfield.sources.fixtures import Fixtures, coord
 from nearfield.sources.index_store import bootstrap_index
 
@@ -170,3 +170,36 @@ def densest_cells(spark, sf_dir):
     """E7 report: the ten densest precision-6 cells (a top-k report)."""
     fx = Fixtures(spark, sf_dir)
     return ix.densest_cells(ix.full_reindex(fx.business, fx.hot_zone_config), 6, 10)
+
+
+DENSE = 20
+_PROPOSED = f"""
+i AS ({_idx_sql("business WHERE status = 'ACTIVE'")}),
+c7 AS (SELECT substr(geohash, 1, 7) AS cell, count(*) AS own FROM i GROUP BY 1),
+c6 AS (SELECT substr(cell, 1, 6) AS cell, CAST(sum(own) AS BIGINT) AS own FROM c7 WHERE own < {DENSE} GROUP BY 1),
+c5 AS (SELECT substr(cell, 1, 5) AS cell, CAST(sum(own) AS BIGINT) AS own FROM c6 WHERE own < {DENSE} GROUP BY 1),
+c4 AS (SELECT substr(cell, 1, 4) AS cell, CAST(sum(own) AS BIGINT) AS own FROM c5 WHERE own < {DENSE} GROUP BY 1),
+dense AS (SELECT cell, length(cell) AS p, own FROM (SELECT * FROM c7 UNION ALL SELECT * FROM c6 UNION ALL SELECT * FROM c5 UNION ALL SELECT * FROM c4)
+          WHERE own >= {DENSE})
+"""
+
+
+@register("zone_proposals", with_fixtures(["business", "hot_zone_config"], _PROPOSED + "SELECT cell, CAST(p AS INTEGER) AS precision, own FROM dense"))
+def zone_proposals(spark, sf_dir):
+    """E7 over precisions 7 to 4: cells with 20 or more active businesses that no denser cell below explains."""
+    fx = Fixtures(spark, sf_dir)
+    return ix.zone_proposals(ix.full_reindex(fx.business, fx.hot_zone_config), DENSE)
+
+
+@register("longest_prefix_zones", with_fixtures(["business", "hot_zone_config"], _PROPOSED + """
+SELECT i.business_id, i.geohash, max_by(d.cell, d.p) AS hz_prefix,
+  CAST(CASE max(d.p) WHEN 7 THEN 300 WHEN 6 THEN 1000 WHEN 5 THEN 5000 WHEN 4 THEN 20000 END AS INTEGER) AS radius_limit, max(d.p) IS NOT NULL AS is_hot
+FROM i LEFT JOIN dense d ON starts_with(i.geohash, d.cell) GROUP BY i.business_id, i.geohash
+"""))
+def longest_prefix_zones(spark, sf_dir):
+    """S8 / D4 with longest prefixes: every active business under the zone of its longest proposed prefix."""
+    fx = Fixtures(spark, sf_dir)
+    index = ix.full_reindex(fx.business, fx.hot_zone_config)
+    config = Scratch(spark, "zones").written(ix.proposed_config(ix.zone_proposals(index, DENSE)))
+    out = ix.attach_longest_zone(index.select("business_id", "geohash"), config)
+    return out.select("business_id", "geohash", "hz_prefix", F.col("hz_radius_limit").alias("radius_limit"), "is_hot")
