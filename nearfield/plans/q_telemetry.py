@@ -46,10 +46,11 @@ def middle_sql(b: str) -> str:
 
 
 def sketched_sql(src: str, groups: str, probs: dict[str, float]) -> str:
-    """The estimates from ordered lists of buckets: the middle of the bucket at each position, interpolated as the exact percentile."""
+    """The estimates from ordered lists of buckets: the middle of the bucket at each position, interpolated as the exact percentile. Nine
+    decimals: middles are binary fractions, so that at six some lie half-way, where engines round differently."""
     at = lambda pos: middle_sql(f"list_extract(bs, CAST({pos} AS BIGINT) + 1)")
     cols = ", ".join(f"round({at(f'floor((n - 1) * {p}::DOUBLE)')} + ({at(f'least(floor((n - 1) * {p}::DOUBLE) + 1, n - 1)')} - {at(f'floor((n - 1) * {p}::DOUBLE)')}) "
-                     f"* ((n - 1) * {p}::DOUBLE - floor((n - 1) * {p}::DOUBLE)), 6) AS {name}" for name, p in probs.items())
+                     f"* ((n - 1) * {p}::DOUBLE - floor((n - 1) * {p}::DOUBLE)), 9) AS {name}" for name, p in probs.items())
     return f"""SELECT {groups}, n, {cols} FROM (SELECT {groups}, count(*) AS n, list(b ORDER BY b) AS bs
   FROM (SELECT *, {bucket_sql('latency_ms')} AS b FROM {src} WHERE latency_ms IS NOT NULL) GROUP BY {groups})"""
 
@@ -72,7 +73,7 @@ def latency_sketch(spark, sf_dir):
     for c in _PROBS:
         within = within & (F.abs(F.col(c) - F.col(f"x_{c}")) <= F.abs(F.col(f"x_{c}")) * RELATIVE_ERROR + 1e-9)
     out = est.join(exact, keys).join(ranks, keys)
-    return out.select(*keys, "n", *[_r6(F.col(c)).alias(c) for c in _PROBS], within.alias("within_bound"),
+    return out.select(*keys, "n", *[F.round(c, 9).alias(c) for c in _PROBS], within.alias("within_bound"),
                       (F.col("rank_error") <= 0.02).alias("ranks_within"))
 
 
@@ -85,7 +86,7 @@ def p95_5m_sketch(spark, sf_dir):
     """I4 for scale: p95 of sliding 5-minute windows, merged from the sketches of their minutes."""
     states = T.minute_sketches(Fixtures(spark, sf_dir).request_log, ["endpoint"])
     w = T.p95_from_sketches(states, ["endpoint"])
-    return w.select("window_start", "endpoint", "n", _r6(F.col("p95_ms")).alias("p95_ms"))
+    return w.select("window_start", "endpoint", "n", F.round("p95_ms", 9).alias("p95_ms"))
 
 
 _RATES_SQL = """
