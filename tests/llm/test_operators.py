@@ -442,6 +442,33 @@ def test_grammar_composes():
     assert walk([n, w, w, w, i])[-1] == 1.0 and walk([s, w, w, w, w, w, i])[-1] == 0.5 and walk([s, n, e, i])[-1] == 1.0
 
 
+def test_toxicity_targets_threats_and_unspaced_texts():
+    scorer = toxicity.Model({"blorg": 1.0, "smite": 1.0, "笨蛋": 1.0}, {}, {"smite"}, [1.0] * toxicity.FEATURES, -3.0).build()
+    total = lambda text: sum(c[0] for c in scorer.clauses(text))
+    assert total("blorg") == 1.0 and total("you blorg") == total("blorg, you") == total("a blorg is what you are") == 1.5
+    assert total("smite") == total("smite the dragon") == total("kill the process") == 0.0       # a threat needs a target
+    assert total("smite you") == total("you: hm; they smite him") == 1.25 and total("i will smite you") == 1.75
+    assert total("i will not smite you") == 1.75 * 0.25 and total("she said they will smite him") == 1.75 * 0.5
+    assert total("kill you") == 1.25 * toxicity.SEED_WEIGHT and total("blorg. you") == 1.0       # a target counts within its clause only
+    assert total("他是笨蛋啊") == 1.0 and total("你是笨蛋") == 1.5 and total("你不是笨蛋") == 1.5 * 0.25 and total("雨。笨蛋") == 1.0
+    run = "thisisalongrunofletterswithoutanyblankyoublorgatall"
+    assert len(run) > toxicity.LONG_RUN and total(run) == 1.5 and total("unblorged") == 0.0
+    assert total("x" * 100_000 + "blorg") == 1.0 and total("blorg " * 50_000) == 50_000 and total("") == 0.0
+
+
+def test_toxicity_learns_threats_unspaced_words_and_one_text_an_id(spark):
+    rows = [(n, passage(f"thr{n}", 30) + (" they will snarfle him tomorrow. " if n % 4 == 0 else "。今天天气很好。") + ("你是笨蛋。" if n % 8 == 0 else "")) for n in range(240)]
+    df = spark.createDataFrame(rows + [rows[4]] * 300, "doc_id long, text string")
+    model = toxicity.fit(df, spark.createDataFrame([(n, int(n % 4 == 0)) for n in range(240)], "doc_id long, toxic int"))
+    assert any("snarfle".startswith(e) for e in model.threats)
+    got = toxicity.toxicity(df, model).collect()
+    assert len(got) == 540 and all(r.predicted == int(r.doc_id % 4 == 0) for r in got)
+    only = [(n, "今天天气很好明天也是" if n % 2 else "他真是笨蛋明天也是") for n in range(200)]
+    df = spark.createDataFrame(only, "doc_id long, text string")
+    model = toxicity.fit(df, spark.createDataFrame([(n, 1 - n % 2) for n in range(200)], "doc_id long, toxic int"))
+    assert all(r.predicted == 1 - r.doc_id % 2 for r in toxicity.toxicity(df, model).collect())
+
+
 def test_toxicity_model_and_edges(spark, docs, empty):
     clean_text = [passage(f"tox{n}", 60) for n in range(120)]
     texts = [(n, t + (" you are a blorgwort. " if n % 4 == 0 else " ") + passage(f"tail{n}", 20)) for n, t in enumerate(clean_text)]

@@ -71,6 +71,12 @@ def test_held_out_accuracy(spark, name, target, least):
     got = [r for r in queries.QUERIES[name](spark, LARGER).filter("held_out").collect() if r.doc_id in truth]
     right = sum(r.predicted == truth[r.doc_id] for r in got)
     assert len(got) > 500 and right / len(got) >= least
+    ones, zeros = ([r for r in got if truth[r.doc_id] == y] for y in (1, 0))
+    rarer = min((ones, zeros), key=len)  # of the rarer label most rows are found, which always naming the other one would miss
+    assert sum(r.predicted == truth[r.doc_id] for r in rarer) / len(rarer) >= 0.85
+    order = {s: n for n, s in enumerate(sorted({r.score for r in got}))}
+    auc = sum((order[a.score] > order[b.score]) + 0.5 * (a.score == b.score) for a in ones for b in zeros) / (len(ones) * len(zeros))
+    assert auc >= 0.93
 
 
 def test_pipeline_against_brute_force(spark, rows):
