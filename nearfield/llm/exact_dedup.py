@@ -69,13 +69,14 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", salts: int = SALTS) -> DataFrame:
-    """The input's rows and columns with one row left of each content."""
-    body = normalised(text_of(text_col))
+    """The input's rows and columns with one row left of each content. Rows meet the winners by id and length beside the content's key,
+    so the copies of one content spread over all tasks."""
+    body, own = normalised(text_of(text_col)), F.col(id_col).cast("long")
     rows = (docs.withColumn("_d_body", body)
-            .withColumns({"_d_sha": F.unhex(F.sha2("_d_body", 256)), "_d_hash": F.xxhash64("_d_body"), "_d_len": F.length("_d_body")})
+            .withColumns({"_d_sha": F.unhex(F.sha2("_d_body", 256)), "_d_hash": F.xxhash64("_d_body"), "_d_len": F.length("_d_body"),
+                          "_d_id": F.coalesce(own, F.lit(0)), "_d_null": own.isNull(), "_d_chars": F.length(text_of(text_col))})
             .drop("_d_body"))
+    row_key = [*_KEY, "_d_id", "_d_null", "_d_chars"]
     win = content_groups(docs, id_col, text_col, salts).select(
-        *_KEY, F.col("keep_id").alias("_d_keep"), F.col("keep_chars").alias("_d_chars"))
-    held = rows.join(win, _KEY).filter(
-        F.col(id_col).cast("long").eqNullSafe(F.col("_d_keep")) & (F.length(text_of(text_col)) == F.col("_d_chars")))
-    return held.dropDuplicates(_KEY).select(*docs.columns)
+        *_KEY, F.coalesce("keep_id", F.lit(0)).alias("_d_id"), F.col("keep_id").isNull().alias("_d_null"), F.col("keep_chars").alias("_d_chars"))
+    return rows.join(win, row_key).dropDuplicates(row_key).select(*docs.columns)

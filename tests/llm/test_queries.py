@@ -10,7 +10,7 @@ import pytest
 import __spark_entry__ as E
 import corpus_pipeline
 from nearfield.llm import queries
-from test_operators import tokenizer
+from test_operators import passage, tokenizer
 
 SMALL, LARGER = "/root/testdata/sf0.001", "/root/testdata/sf0.1"
 
@@ -94,6 +94,41 @@ def test_pipeline_against_brute_force(spark, rows):
     assert got == want
 
 
+def _tables(folder, docs, labels, benchmark):
+    """The tables of a pipeline run, with columns beside those that it reads, some named like its own."""
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR, lang VARCHAR, source VARCHAR, keep_id VARCHAR, component_id INTEGER, score VARCHAR, y INTEGER)")
+    con.execute("CREATE TABLE labels (doc_id BIGINT, toxic INTEGER, quality INTEGER, text VARCHAR)")
+    con.execute("CREATE TABLE benchmark (item_id BIGINT, text VARCHAR, doc_id BIGINT)")
+    for row in docs:
+        con.execute("INSERT INTO documents VALUES (?, ?, NULL, 'one', 'k', 7, 's', NULL)", row)
+    for row in labels:
+        con.execute("INSERT INTO labels VALUES (?, ?, 1, 'x')", row)
+    for row in benchmark:
+        con.execute("INSERT INTO benchmark VALUES (?, ?, 1)", row)
+    for name in ("documents", "labels", "benchmark"):
+        con.execute(f"COPY {name} TO '{folder}/{name}.parquet' (FORMAT parquet)")
+    return str(folder)
+
+
+def test_pipeline_edges(spark, tmp_path):
+    long, item = passage("pipeline-long", 40_000), passage("pipeline-item", 60)
+    toxic = [(n, passage(f"pipe{n}", 40) + (" you blorgwort. " if n % 3 == 0 else "")) for n in range(100, 220)]
+    docs = [(1, long), (2, long + " end"), (3, "a short  text"), (4, "a short text"), (4, "a short text"), (5, None), (6, ""), (7, "  "), (None, None),
+            (None, "no id at all here"), (None, "no id  at all here"), (8, "before " + item + " after"), (9, item), (9, item), (10, "日本語 " * 50)] + toxic
+    folder = _tables(tmp_path, docs, [(i, int(i % 3 == 0)) for i, _ in toxic] + [(None, 1), (1, None)], [(1, item), (2, None), (3, "")])
+    got = sorted((r.doc_id or -1, r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in corpus_pipeline.run(spark, folder).collect())
+    # Of equal texts the one with most code points stays, then the smallest id; of empty ones that is the one with most blanks.
+    want = [(1, long), (3, "a short  text"), (7, "  "), (-1, "no id  at all here"), (10, "日本語 " * 50)] + [(i, t) for i, t in toxic if i % 3]
+    t = tokenizer()
+    assert got == sorted((i, *digests(t, x)) for i, x in want)
+
+
+def test_pipeline_of_an_empty_table(spark, tmp_path):
+    out = corpus_pipeline.run(spark, _tables(tmp_path, [], [], []))
+    assert out.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] and out.count() == 0
+
+
 def test_stages_return_the_columns_of_documents(spark):
     docs = queries.documents(spark, SMALL)
     for name, stage in corpus_pipeline.STAGES[:-1]:
