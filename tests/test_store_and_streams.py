@@ -18,7 +18,7 @@ from nearfield.session import work_dir
 from nearfield.sources.fixtures import Fixtures
 from nearfield.sources.index_store import IndexStore, bootstrap_index, read_index, write_index
 from nearfield.streaming.sync_stream import HotZoneRefresher, start_sync_stream
-from nearfield.streaming.telemetry_stream import run_telemetry_stream
+from nearfield.streaming.telemetry_stream import run_telemetry_stream, start_telemetry_stream
 
 from conftest import SF_SMALL
 from test_flow import BIZ, LOG
@@ -242,6 +242,34 @@ def test_telemetry_stream_counts_files_in_reverse_time_order(spark, tmp_path):
     assert got.filter("metric = 'rps_1m'").agg(F.sum("requests")).first()[0] == req.count()
 
 
+def test_telemetry_emits_closed_minutes_while_it_runs(spark, tmp_path):
+    schema = Fixtures(spark, SF_SMALL).request_log.select("ts", "endpoint", "latency_ms", "status_code").schema
+    folder = f"{tmp_path}/log"
+    os.makedirs(folder)
+
+    def arrive(minutes):
+        rows = spark.createDataFrame([(f"2024-01-01 00:{m:02d}:30", "search", 5.0, 200) for m in minutes], "ts string, endpoint string, latency_ms double, status_code int")
+        rows.select(*(F.col(f.name).cast(f.dataType) for f in schema)).coalesce(1).write.mode("append").parquet(folder)
+        stream.query.processAllAvailable()
+
+    stream = start_telemetry_stream(spark, spark.readStream.schema(schema).parquet(folder), f"{tmp_path}/s", {"processingTime": "1 second"}, delay=10, fold_every=2)
+    counts = lambda rows: sorted((r.window_start.minute, r.requests) for r in rows.collect())
+    try:
+        arrive([0, 0, 1, 3])
+        assert stream.closed().count() == 0 and stream.query.isActive  # the latest minute is 3: nothing is ten minutes old
+        arrive([12])
+        assert counts(stream.closed()) == [(0, 2), (1, 1)]
+        arrive([20, 14])
+        assert counts(stream.closed()) == counts(stream.emitted()) == [(0, 2), (1, 1), (3, 1)]  # each minute once
+        arrive([1, 15])  # late: minute 1 is emitted again, whole; minutes still open are not
+        assert counts(stream.closed()) == [(0, 2), (1, 2), (3, 1)] and counts(stream.emitted()) == [(0, 2), (1, 1), (1, 2), (3, 1)]
+        arrive([40])
+        assert counts(stream.closed()) == [(0, 2), (1, 2), (3, 1), (12, 1), (14, 1), (15, 1), (20, 1)]
+    finally:
+        stream.query.stop()
+    assert [d for d in os.listdir(f"{tmp_path}/s/folded") if d.startswith("upto=")]
+
+
 def test_a_session_without_a_checkpoint_folder_gets_one(spark, tmp_path):
     """In a process of its own: the setting is fixed once a session runs, and a defaults file may hold it."""
     code = ("import sys; sys.path.insert(0, sys.argv[1])\n"
