@@ -125,6 +125,15 @@ def test_near_dedup_rest_pairs_beyond_the_leaders(spark):
     assert {r.doc_id: r.component_id for r in got} == comp
 
 
+def test_near_dedup_links_across_the_size_of_the_sketch(spark):
+    """One text whose sketch is its whole set, one whose sketch is not, over the threshold; a third pair just below it."""
+    words = [f"w{i}" for i in range(400)]
+    other = [f"x{i}" for i in range(400)]
+    rows = [(1, " ".join(words[:184])), (2, " ".join(words[:214])), (3, " ".join(other[:154])), (4, " ".join(other[:214]))]
+    got = near_dedup.near_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == {1: (180, 1), 2: (210, 1), 3: (150, 3), 4: (210, 4)}
+
+
 def test_license_scan(docs, empty):
     got = license_scan.license_scan(docs)
     want = [(i, *brute.license_base(t)) for i, t in ROWS]
