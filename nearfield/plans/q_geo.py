@@ -306,6 +306,8 @@ FROM g JOIN nb USING (query_id)
 def sql_functions(spark, sf_dir):
     """B1-B9 as SQL functions: a query that is SQL text only."""
     register_functions(spark)
+    # A row takes much longer than its few bytes to read: all cores share the rows, however the files are cut.
+    searches = Fixtures(spark, sf_dir).search_query.repartition(4 * spark.sparkContext.defaultParallelism)
     return spark.sql("""
 SELECT query_id, nf_geohash_encode(latitude, longitude, 8) AS gh8, nf_geohash_encode(latitude, longitude, 5) AS gh5,
   array_sort(nf_neighbor_cells(latitude, longitude, 6)) AS cells, nf_precision_for_radius(radius_m) AS policy,
@@ -313,4 +315,4 @@ SELECT query_id, nf_geohash_encode(latitude, longitude, 8) AS gh8, nf_geohash_en
   round(nf_move_point(latitude, longitude, radius_m, radians(query_id % 360)).latitude, 6) AS moved_lat,
   nf_encode_cursor(cast(query_id % 250 as int)) AS cursor, nf_decode_cursor(nf_encode_cursor(cast(query_id % 250 as int))) AS decoded,
   nf_decode_cursor(concat(nf_encode_cursor(cast(query_id % 250 as int)), '!')) AS bad
-FROM {search_query}""", search_query=Fixtures(spark, sf_dir).search_query)
+FROM {search_query}""", search_query=searches)

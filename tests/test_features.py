@@ -47,6 +47,14 @@ def _files(root):
     return {f"{d}/{f}": os.stat(f"{d}/{f}").st_mtime_ns for d, _, fs in os.walk(root) for f in fs if f.endswith(".parquet")}
 
 
+def test_sql_functions_have_no_interpreted_lambdas(spark):
+    from nearfield.functions.sql import register_functions
+
+    register_functions(spark)
+    out = spark.range(3).selectExpr("nf_geohash_encode(id, id, 8)", "nf_neighbor_cells(id, id, 6)", "nf_haversine_m(id, id, 1D, 2D)", "nf_decode_cursor('MjA')")
+    assert "lambda" not in out._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_retention_drops_days_by_their_folders(spark, tmp_path):
     rows = [(n, dt.datetime(2024, 1, 1 + n % 4, n % 24) if n else None) for n in range(400)]
     log = spark.createDataFrame(rows, "request_id int, ts timestamp_ntz")
