@@ -33,7 +33,6 @@ from nearfield.llm.common import map_batches, text_of
 
 CACHE_WORDS = 200_000
 CACHE_PAIRS = 1_000_000
-_NODE = (1 << 24) - 1
 BATCH_CHARS = 4_000_000
 # Fixed value: the word pattern of the byte-level tokenizers.
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -91,20 +90,34 @@ class TrieEncoder:
             parts[at:at + 2] = [best & 0xFFFFF]
 
     def _grow_trie(self) -> None:
-        """The vocabulary's trie: ``step`` leads from node << 8 | byte to the next node, ``token`` gives a node's token or -1."""
+        """The vocabulary's trie: ``step`` leads from node << 8 | byte to the next node, ``fail`` from a node to that of its longest proper
+        end which the trie holds, and ``ends`` gives the tokens that a node's bytes end with, longest first, each with its size."""
         self.step: dict[int, int] = {}
-        self.token = [-1]
+        token, nodes = [-1], [[]]  # nodes: by depth, each with its parent and last byte
         for data, i in self.ids.items():
             node = 0
-            for byte in data:
+            for depth, byte in enumerate(data, 1):
                 key = node << 8 | byte
-                node = self.step.get(key, 0)
+                up, node = node, self.step.get(key, 0)
                 if not node:
-                    node = self.step[key] = len(self.token)
-                    self.token.append(-1)
-            self.token[node] = i
-        self.first = [self.step[b] for b in range(256)]
-        self.single = [self.token[n] for n in self.first]
+                    node = self.step[key] = len(token)
+                    token.append(-1)
+                    if depth == len(nodes):
+                        nodes.append([])
+                    nodes[depth].append((node, up, byte))
+            token[node] = i
+        self.fail, self.ends = [0] * len(token), [()] * len(token)
+        for depth, level in enumerate(nodes):
+            for node, up, byte in level:
+                end = 0
+                if up:
+                    end = self.fail[up]
+                    while (end << 8 | byte) not in self.step:  # the root has a step for every byte
+                        end = self.fail[end]
+                    end = self.step[end << 8 | byte]
+                self.fail[node] = end
+                self.ends[node] = ((token[node], depth), *self.ends[end]) if token[node] >= 0 else self.ends[end]
+        self.single = [token[self.step[b]] for b in range(256)]
 
     def _read_histories(self) -> None:
         """``made``: token -> (rank, left, right) of the one merge that makes it. Files in which two merges make one token, or a merge comes
@@ -171,41 +184,37 @@ class TrieEncoder:
 
     def encode_words(self, words: set[str]) -> dict[str, tuple]:
         """The words' tokens; one depth-first walk over the trie of the words."""
-        step, tokens, pairs, follow, made = self.step.get, self.token, self.pairs.get, self._may_follow, {}
-        first, single = self.first, self.single
-        path, last, size, open_at = b"", [-1], [0], [()]
-        # For path[:i]: last[i] the last token of its encoding, size[i] that token's bytes, open_at[i] the positions from which
-        # path[:i] is still the start of some token, each with its node of the vocabulary's trie (start << 24 | node).
-        for word, data in sorted(((w, w.encode()) for w in words), key=lambda x: x[1]):
+        step, fail, ends, single, pairs, follow, made = self.step.get, self.fail, self.ends, self.single, self.pairs.get, self._may_follow, {}
+        path, last, size, nodes = b"", [-1], [0], [0]
+        # For path[:i]: last[i] the last token of its encoding, size[i] that token's bytes, nodes[i] the vocabulary trie's node of the
+        # longest end of path[:i] which is the start of some token.
+        for word in sorted(words):  # the order of code points is that of their UTF-8 bytes
+            data = word.encode()
             n, top = 0, min(len(path), len(data))
             if path[:top] == data[:top]:
                 n = top
             else:
                 while path[n] == data[n]:
                     n += 1
-            del last[n + 1:], size[n + 1:], open_at[n + 1:]
-            opened, at = open_at[n], n
+            del last[n + 1:], size[n + 1:], nodes[n + 1:]
+            node, at = nodes[n], n
             for byte in data[n:]:
-                live, token = [], None
-                for here in opened:
-                    node = step((here & _NODE) << 8 | byte)
-                    if node is not None:
-                        live.append((here & ~_NODE) | node)
-                        if token is None:
-                            got = tokens[node]
-                            if got >= 0:
-                                before = last[here >> 24]
-                                ok = pairs(before << 20 | got)
-                                if ok if ok is not None else follow(before, got):
-                                    token, taken = got, at + 1 - (here >> 24)
-                live.append(at << 24 | first[byte])
+                here = step(node << 8 | byte)
+                while here is None:
+                    node = fail[node]
+                    here = step(node << 8 | byte)
+                node = here
                 at += 1
-                if token is None:  # the byte itself
+                for token, taken in ends[node]:
+                    before = last[at - taken]
+                    ok = pairs(before << 20 | token)
+                    if ok if ok is not None else follow(before, token):
+                        break
+                else:  # the byte itself
                     token, taken = single[byte], 1
                 last.append(token)
                 size.append(taken)
-                open_at.append(live)
-                opened = live
+                nodes.append(node)
             path = data
             out, at = [], len(data)
             while at:

@@ -275,6 +275,23 @@ def test_bpe(docs, empty):
     assert bpe.bpe_table(empty, vocabulary()).count() == 0
 
 
+def test_bpe_walk_takes_about_one_step_a_byte():
+    """However many tokens lie open at a place, a byte follows one node of the vocabulary's trie."""
+    from tokenizers import Tokenizer
+
+    class Counted(dict):
+        asked = 0
+
+        def get(self, *a):
+            Counted.asked += 1
+            return dict.get(self, *a)
+    coder, word = bpe.TrieEncoder(vocabulary()), "a" * 300 + "internationalisation" * 40 + "\u00e4\u4e2d" * 50
+    coder.step = Counted(coder.step)
+    made = coder.encode_words({word})[word]
+    assert coder.decode(made) == word and Counted.asked <= 2 * len(word.encode())
+    assert list(made) == Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")).encode(word, add_special_tokens=False).ids
+
+
 def test_bpe_random_texts(monkeypatch):
     pick, t = random.Random(11), tokenizer()
     chars = "abcdefghij THEing\n\t  '!?.,éßñ日本0123456789　\x1f<|>_" + chr(0x1F600)
